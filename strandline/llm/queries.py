@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import chat, mixing, quality, rules, secrets, urls
+from strandline.llm import chat, media, mixing, quality, records, rules, secrets, urls
 from strandline.llm.shared import cut, table
 
 
@@ -20,6 +21,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = media.write_archives(table(spark, sf_dir, "documents"))
+    return media.describe(media.read_archives(spark, folder))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
@@ -31,11 +37,15 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(cut(chat.format_chats(rows)))
 
 
+def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.read_records(records.write_records(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_quality, op4_mixing, op6_quality_rules, op8_chat, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_quality, op4_mixing, op5_media, op6_quality_rules, op8_chat, op9_token_records, op10_url_filter)}
 
 ORACLE = {
     "op4_mixing": mixing.oracle(),
