@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def pieces_of(batch: pa.RecordBatch, column: str, most: int = 16_000_000):
     import numpy as np
 
     values = batch.column(column)
-    sizes = pa.compute.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0
     while at < batch.num_rows:
