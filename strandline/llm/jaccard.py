@@ -10,11 +10,12 @@ of the shingles' hashes. All results are exact for those hashes (48 bits for ove
    so one of the first n - ceil(0.75 n) + 1 is common to both. These columns alone enter the product, and documents
    whose rare columns fill them (most of a corpus) have no candidates. Common passages come last in the order.
 3. Documents with equal sets are one row of the product (the least id stands for them).
-4. The product runs over the columns' lists without expanding a list to all its pairs: each round pairs one member of each
-   list with the others that are not yet in its component, verifies the overlaps and joins components. When few
-   cross pairs are left, all of these are accumulated, pairs below the bound that their sizes and prefix overlap allow
-   are dropped, and the rest is verified. So a group of m near copies costs about m pairs, and no link
-   between components is lost.
+4. The product runs over the columns' lists without expanding a list to all its pairs: in a few rounds one member
+   of each list meets the others that are not in its component, at places and sizes that still allow the bound; these
+   pairs' overlaps are verified and join components. The lists that still hold different components are then
+   multiplied block by block, in tiles of some hundred rows: a tile accumulates overlap counts, drops pairs below
+   the bound that their sizes give, and returns only links that join components. So a group of m near copies costs
+   about m rows, and no link between components is lost.
 
 Components are joined by least labels and pointer jumping, in tables; nothing but counts reaches the driver.
 The input should be a table (or written to one): a task that runs again must meet its rows again.
@@ -42,9 +43,11 @@ WORDS = 5
 #: Shingles in a unit, bytes of text hashed at a time.
 UNIT_SHINGLES = 1_500_000
 HASH_BYTES = 3_000_000
-#: Rounds of one against the rest in each list, at most; cross pairs for each posting at which rounds may end.
-ROUNDS = 8
-CROSS_PER_POSTING = 2
+#: Rounds of one against the rest in each list, before the rest is multiplied in tiles.
+ROUNDS = 2
+#: Rows and shingles in a block of a tile, about.
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 500_000
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -280,11 +283,6 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     return cut(comps.join(found, comps.comp == found.v, "left").select("key", "n", F.coalesce("into", "comp").alias("comp")))
 
 
-def _fits(a: str, b: str):
-    """The sizes allow a link: the smaller set has at least 75 % of the larger one's size."""
-    return 4 * F.least(a, b) >= 3 * F.greatest(a, b)
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by their exact overlap."""
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
@@ -293,50 +291,120 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(7 * F.size(F.array_intersect("grams_a", "grams_b")) >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def link_components(sets: DataFrame, rounds: int = ROUNDS, cross_per_posting: float = CROSS_PER_POSTING) -> DataFrame:
+def _may_link(a: str, b: str):
+    """The sizes and places of a column in two rows allow a link if no column before it is common.
+
+    Then the overlap is at most what is left of either row from there on. The first common column of a link passes.
+    """
+    left = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
+    return 7 * left >= 3 * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def _postings(sets: DataFrame) -> DataFrame:
+    """(gram, row: key, n, pos, most) of the prefixes' columns that some other row can meet.
+
+    ``pos`` is the column's place in its row, columns of one document first; ``most`` is the largest partner that the
+    place allows. A column's rows without a partner small enough, or without one that allows their size, go.
+    """
+    placed = sets.select("key", "n", (F.col("n") - F.size("grams")).alias("u"), F.posexplode("prefix").alias("i", "gram")).withColumn("pos", F.col("u") + F.col("i"))
+    ranged = placed.withColumn("most", F.floor((4 * F.col("n") - 7 * F.col("pos")) / 3)).select("gram", F.struct("key", "n", "pos", "most").alias("row"))
+    ranged = cut(ranged)
+    ends = ranged.groupBy("gram").agg(F.count("*").alias("m"), F.min("row.n").alias("least_n"), F.max("row.most").alias("most_n")).where("m > 1")
+    met = ranged.join(ends, "gram").where("row.most >= least_n AND row.n <= most_n").select("gram", "row")
+    return cut(met)
+
+
+def link_components(sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(key, n, comp) for ``sets`` (key, n, prefix, grams), one row for each different set: the components of all links."""
-    postings = cut(sets.select("key", "n", F.explode("prefix").alias("gram")))
-    shared = postings.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
-    postings = cut(postings.join(shared, "gram", "left_semi"))
-    comps = cut(postings.groupBy("key").agg(F.first("n").alias("n")).select("key", "n", F.col("key").alias("comp")))
+    postings = _postings(sets)
+    comps = cut(postings.select("row.key", "row.n").distinct().select("key", "n", F.col("key").alias("comp")))
     done = None
     for turn in range(rounds + 1):
-        live = postings.join(comps.select("key", "comp"), "key")
-        by_comp = live.groupBy("gram", "comp").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64(F.lit(turn), "key").alias("h"), "key", "n", "comp")).alias("hub"))
-        lists = by_comp.groupBy("gram").agg(F.sum("m").alias("members"), ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("cross"), F.count("*").alias("comps"), F.min("hub").alias("hub")).where("comps > 1")
+        live = postings.withColumn("key", F.col("row.key")).join(comps.select("key", "comp"), "key").select("gram", "row", "comp")
+        # A link's smaller row has the column early enough for partners of its own size: such rows are hubs.
+        early = F.col("row.most") >= F.col("row.n")
+        by_comp = live.groupBy("gram", "comp").agg(F.count("*").alias("m"), F.count_if(early).alias("e"), F.min(F.struct((~early).alias("late"), F.xxhash64(F.lit(turn), "row.key").alias("h"), "row", "comp")).alias("hub"))
+        lists = by_comp.groupBy("gram").agg(F.sum("m").alias("members"), (F.sum("m") * F.sum("e") - F.sum(F.col("m") * F.col("e"))).alias("cross"), F.min("hub").alias("hub")).where("cross > 0")
         lists = cut(lists)
         left = lists.agg(F.count("*").alias("lists"), F.coalesce(F.sum("cross"), F.lit(0)).alias("cross"), F.coalesce(F.sum("members"), F.lit(0)).alias("members")).first()
         if not left["lists"]:
             break
-        last = turn == rounds or left["cross"] <= cross_per_posting * left["members"]
+        last = turn == rounds
         if last:
-            pairs = _cross_pairs(live.join(lists.select("gram"), "gram", "left_semi"))
-        else:
-            star = live.join(lists.select("gram", "hub"), "gram").where((F.col("comp") != F.col("hub.comp")) & _fits("n", "hub.n"))
-            pairs = star.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
+            return _merged(comps, cut(_tile_links(live.join(lists.select("gram"), "gram", "left_semi"), sets)))
+        star = live.join(lists.select("gram", "hub"), "gram").where((F.col("comp") != F.col("hub.comp")) & _may_link("row", "hub.row"))
+        pairs = star.select(F.least("row.key", "hub.row.key").alias("a"), F.greatest("row.key", "hub.row.key").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        links = cut(_verified(pairs, sets))
-        comps = _merged(comps, links)
+        comps = _merged(comps, cut(_verified(pairs, sets)))
         done = pairs if done is None else done.unionByName(pairs)
-        if last:
-            break
     return comps
 
 
-def _cross_pairs(live: DataFrame) -> DataFrame:
-    """All pairs of different components that share a prefix column and whose accumulated prefix overlap leaves a link possible.
-
-    Of two documents, all common columns up to the earlier prefix's end are in both prefixes, so the overlap is at most
-    the prefixes' overlap and what follows the larger prefix.
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _product(table: pa.Table) -> pa.Table:
+    """A tile of the product: overlaps of one block's rows with the other's; the links that join components of the tile."""
+    n, comp, key, block = (table.column(c).to_numpy() for c in ("n", "comp", "key", "block"))
+    lists = table.column("grams").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy().astype(np.int64))
+    owner = np.repeat(np.arange(len(n)), sizes)
+    column = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+    by_column = np.argsort(column, kind="stable")
+    rows_of = owner[by_column]
+    bounds = np.searchsorted(column[by_column], np.arange(int(column.max(initial=-1)) + 2))
+    bounds_by_row = np.r_[0, np.cumsum(sizes)]
+    left = np.flatnonzero(block == block.min())
+    one_block = len(left) == len(n)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for i in left.tolist():
+        own = column[bounds_by_row[i] : bounds_by_row[i + 1]]
+        first, count = bounds[own], bounds[own + 1] - bounds[own]
+        ends = np.cumsum(count)
+        at = np.repeat(first - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
+        overlap = np.bincount(rows_of[at], minlength=len(n))
+        # the bound that the sizes give
+        hit = (7 * overlap >= 3 * (n[i] + n)) & (comp != comp[i])
+        hit &= np.arange(len(n)) > i if one_block else block != block[i]
+        for j in np.flatnonzero(hit).tolist():
+            x, y = root(int(comp[i])), root(int(comp[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((min(int(key[i]), int(key[j])), max(int(key[i]), int(key[j]))))
+    return pa.Table.from_batches([_batch(out, LINKS)] if out else [], LINKS)
+
+
+def _tile_links(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links that join the components of the rows of the lists ``live`` (gram, row, comp), by blocks of rows.
+
+    Blocks lie within a cluster of lists; a large component has blocks of its own, small ones share some.
+    Only block pairs that meet in a list and hold different components are multiplied, and a tile gives at most a link for
+    each of its rows. So rows left over beside a large component meet it once, and nothing is expanded to pairs.
     """
-    one = live.select("gram", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    two = live.select("gram", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    met = one.join(two, "gram").where((F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & _fits("n_a", "n_b"))
-    summed = met.groupBy("a", "b").agg(F.count("*").alias("common"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-    most = F.col("common") + F.floor((3 * F.greatest("n_a", "n_b") + 3) / 4) - 1
-    return summed.where(7 * most >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    hubs = live.groupBy("gram").agg(F.min("row.key").alias("b"))
+    clusters = connected(live.select("gram", F.col("row.key").alias("a")).join(hubs, "gram").where("a <> b").select("a", "b").distinct())
+    weighed = sets.select("key", "n", "grams", F.size("grams").alias("w"))
+    rows = live.select(F.col("row.key").alias("key"), "comp").distinct().join(clusters.select(F.col("v").alias("key"), F.col("comp").alias("cluster")), "key").join(weighed.select("key", "w"), "key")
+    by_comp = rows.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("w").alias("w")).withColumn("own", (F.col("m") >= BLOCK_ROWS / 2) | (F.col("w") >= BLOCK_SHINGLES / 2))
+    owned = by_comp.groupBy("cluster", "own", F.when(F.col("own"), F.col("comp")).alias("owner")).agg(F.ceil(F.greatest(F.sum("m") / BLOCK_ROWS, F.sum("w") / BLOCK_SHINGLES)).cast("long").alias("k"))
+    dealt = by_comp.select("cluster", "comp", "own", F.when(F.col("own"), F.col("comp")).alias("owner")).join(owned.select(F.col("cluster").alias("c2"), F.col("owner").alias("o2"), "k"), (F.col("cluster") == F.col("c2")) & F.col("owner").eqNullSafe(F.col("o2")))
+    placed = rows.select("key", "comp", "cluster").join(dealt.select("cluster", "comp", "own", "owner", "k"), ["cluster", "comp"])
+    placed = cut(placed.withColumn("block", F.xxhash64("cluster", F.coalesce("owner", F.lit(-1)), F.pmod(F.xxhash64(F.when(F.col("own"), F.col("key")).otherwise(F.col("comp"))), F.col("k")))).select("key", "comp", "own", "block", "owner"))
+    met = live.select("gram", F.col("row.key").alias("key")).join(placed.select("key", "block", "owner"), "key").select("gram", "block", "owner").distinct()
+    one, two = met.select("gram", F.col("block").alias("x"), F.col("owner").alias("ox")), met.select("gram", F.col("block").alias("y"), F.col("owner").alias("oy"))
+    tiles = one.join(two, "gram").where("x <= y AND NOT coalesce(ox = oy, false)").select("x", "y").distinct().withColumn("tile", F.xxhash64("x", "y"))
+    ends = tiles.select("tile", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    members = ends.join(placed.select("block", "key", "comp"), "block").join(weighed.select("key", "n", "grams"), "key")
+    return members.select("tile", "block", "key", "comp", "n", "grams").groupBy("tile").applyInArrow(_product, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
