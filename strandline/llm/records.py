@@ -33,6 +33,9 @@ from strandline.llm.shared import file_system, no_nulls, pieces_of, shared_folde
 
 END_ID = 2
 FILE_BYTES = 512_000_000
+#: Words that a worker keeps encoded; marks that are parted from words.
+STORED = 500_000
+MARKS = frozenset(".,;:!?|")
 
 
 def _tables() -> np.ndarray:
@@ -47,7 +50,13 @@ def _tables() -> np.ndarray:
     return t
 
 
-_T = _tables()
+def _pair_tables() -> list[np.ndarray]:
+    """Four tables for two bytes each, made of the eight."""
+    t, x = _tables(), np.arange(65536)
+    return [t[k + 1][x & 255] ^ t[k][x >> 8] for k in (6, 4, 2, 0)]
+
+
+_T = _pair_tables()
 
 
 def crc32c_many(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -70,11 +79,11 @@ def crc32c_many(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
                 n = int(sizes[i])
                 lanes[lane, width - n :] = raw[starts[i] : ends[i]]
                 lanes[lane, width - n : width - n + 4] ^= 255
-            columns = np.ascontiguousarray(lanes.view("<u4").reshape(len(some), width // 4).T)
+            columns = np.ascontiguousarray(lanes.view("<u2").T)
             crc = np.zeros(len(some), np.uint32)
-            for w in range(0, width // 4, 2):
-                x, y = crc ^ columns[w], columns[w + 1]
-                crc = _T[7][x & 255] ^ _T[6][(x >> 8) & 255] ^ _T[5][(x >> 16) & 255] ^ _T[4][x >> 24] ^ _T[3][y & 255] ^ _T[2][(y >> 8) & 255] ^ _T[1][(y >> 16) & 255] ^ _T[0][y >> 24]
+            for w in range(0, width // 2, 4):
+                low, high = crc.astype(np.uint16) ^ columns[w], (crc >> 16).astype(np.uint16) ^ columns[w + 1]
+                crc = _T[0].take(low) ^ _T[1].take(high) ^ _T[2].take(columns[w + 2]) ^ _T[3].take(columns[w + 3])
             out[some] = ~crc
     return out
 
@@ -96,10 +105,18 @@ class Encoder:
         spec = json.loads(self.tokenizer.to_str())
         split = [p for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if p.get("type") == "Split"]
         # White space only parts words if the words' pattern is what is kept and the rest is removed.
-        self.by_word = bool(split) and split[0]["behavior"] == "Removed" and split[0]["invert"] and r"[^\s" in split[0]["pattern"].get("Regex", "") and not (spec.get("post_processor"))
+        lowers = "Lowercase" in json.dumps(spec.get("normalizer") or {})
+        self.by_word = lowers and bool(split) and split[0]["behavior"] == "Removed" and split[0]["invert"] and r"[^\s" in split[0]["pattern"].get("Regex", "") and not (spec.get("post_processor"))
         special = [t for t in spec.get("added_tokens", []) if t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"])]
         self.mark = (special[0]["content"], special[0]["id"]) if special else None
         self.by_word = self.by_word and self.mark is not None
+        self._empty()
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65536 else 4
 
     @classmethod
@@ -108,20 +125,102 @@ class Encoder:
             cls.opened[path] = cls(path)
         return cls.opened[path]
 
-    def _each(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word: many words go in one call, parted by a special token that none contains."""
+    def _fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, their counts): many words go in one call.
+
+        Words of letters alone are parted by spaces: each is one piece, whose last token bears the word end. Others are
+        parted by a special token; words that hold one go alone, as do those of a call whose word ends don't match.
+        """
         mark, mark_id = self.mark
-        out: list[list[int]] = [[]] * len(words)
-        plain = [i for i, w in enumerate(words) if mark not in w]
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(mark.join([words[i] for i in some]), add_special_tokens=False).ids, np.uint32)
-            for i, part in zip(some, np.split(ids, np.flatnonzero(ids == mark_id))):
-                out[i] = part
-            for i in some[1:]:
-                out[i] = out[i][1:]
-        for i in set(range(len(words))) - set(plain):
-            out[i] = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, np.uint32)
+        letters = self.ends is not None and all(w.isalpha() for w in words)
+        ids, sizes = [], []
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            if letters:
+                got = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+                last = np.flatnonzero(self.ends[got])
+                if len(last) == len(some) and last[-1] == len(got) - 1:
+                    ids.append(got)
+                    sizes.append(np.diff(last, prepend=-1))
+                    continue
+            elif not any(mark in w for w in some):
+                got = np.array(self.tokenizer.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids, np.uint32)
+                between = np.flatnonzero(got == mark_id)
+                sizes.append(np.diff(np.r_[-1, between, len(got)]) - 1)
+                ids.append(got[got != mark_id])
+                continue
+            for w in some:
+                ids.append(np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32))
+                sizes.append(np.array([len(ids[-1])]))
+        return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _store(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
+        self.flat, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes.astype(np.int32)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int32)])
+        self.first = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+
+    def _gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the stored words at these places, their running counts)."""
+        n = self.sizes[places]
+        ends = np.cumsum(n, dtype=np.int32)
+        index = np.repeat(self.first[places] - (ends - n), n)
+        index += np.arange(len(index), dtype=np.int32)
+        return self.flat[index], ends
+
+    def _trim(self) -> None:
+        """Keeps of an overfull store the words that at least two batches used; of a store full of those, none."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > STORED // 2:
+            keep = keep[:0]
+        named = {i: w for w, i in self.known.items()}
+        keep = keep[[i in named for i in keep.tolist()]] if len(keep) else keep
+        words = [named[i] for i in keep.tolist()]
+        ids, sizes = (self._gather(keep)[0], self.sizes[keep]) if len(keep) else (np.zeros(0, np.uint32), np.zeros(0, np.int32))
+        self._empty()
+        self._store(words, ids, sizes)
+        self.uses += 1
+
+    def _empty(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.sizes, self.uses = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """The words' numbers in the store of encoded words, which is trimmed first if it has over ``STORED`` words."""
+        if len(self.known) > STORED:
+            self._trim()
+        known = self.known
+        places = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            parts = self._parts(new)
+            fresh = [w for w in dict.fromkeys(["", *MARKS, *(s for s, _ in parts)]) if w not in known]
+            for some in ([w for w in fresh if w.isalpha()], [w for w in fresh if not w.isalpha()]):
+                if some:
+                    self._store(some, *self._fresh(some))
+            made = [(w, p) for w, p in zip(new, parts) if p[0] is not w]
+            if made:
+                ids, to = self._gather(np.fromiter((known[x] for _, pair in made for x in pair), np.int64, 2 * len(made)))
+                self._store([w for w, _ in made], ids, np.diff(to[1::2], prepend=0))
+            places[missing] = np.fromiter(map(known.__getitem__, new), np.int64, len(new))
+        self.uses[places] += 1
+        return places
+
+    def _parts(self, words: list[str]) -> list[tuple[str, str]]:
+        """(stem, mark) of each word: a mark of ``MARKS`` that follows a letter at the word's end, or none.
+
+        Such a mark is a piece of its own, whatever is before it. Stems of ASCII letters are lower-cased, as the
+        tokenizer does with all.
+        """
+        out = []
+        for w in words:
+            mark = w[-1:]
+            if mark in MARKS and w[-2:-1].isalpha():
+                w = w[:-1]
+            else:
+                mark = ""
+            out.append((w.lower() if w.isascii() and w.isalpha() and not w.islower() else w, mark))
         return out
 
     def encode(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -130,18 +229,12 @@ class Encoder:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(values.to_pylist(), add_special_tokens=False)]
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int64)
             return np.fromiter((i for x in ids for i in x), np.uint32, int(offsets[-1])), offsets
-        split = pc.split_pattern_regex(values, r"[ \n\t\r]+")
+        split = pc.ascii_split_whitespace(values)
         coded = split.values.dictionary_encode()
-        each = self._each(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.concatenate(each) if each else np.zeros(0, np.uint32)
-        first = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        n = sizes[codes]
-        ends = np.cumsum(n)
-        index = np.repeat(first[codes] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
+        places = self._places(coded.dictionary.to_pylist())
+        ids, ends = self._gather(places[coded.indices.to_numpy(zero_copy_only=False)])
         rows = split.offsets.to_numpy().astype(np.int64)
-        return flat[index], np.concatenate([[0], ends])[rows - rows[0]]
+        return ids, np.concatenate([[0], ends])[rows - rows[0]].astype(np.int64)
 
 
 _HEAD = np.dtype([("flags", "u1"), ("key", "<i8")])
@@ -149,15 +242,15 @@ _HEAD = np.dtype([("flags", "u1"), ("key", "<i8")])
 
 def frames(keys: list, ids: np.ndarray, offsets: np.ndarray, width: int) -> tuple[bytes, np.ndarray]:
     """(frames, their sizes) of rows with the given keys (None: null) and token ids."""
-    kind = "<u2" if width == 2 else "<u4"
-    parts = []
-    for k, a, b in zip(keys, offsets[:-1].tolist(), offsets[1:].tolist()):
-        head = np.array([((k is None) + 2 * (width == 4), k or 0)], _HEAD).tobytes()
-        parts.append(head + ids[a:b].astype(kind).tobytes())
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    raw = np.frombuffer(b"".join(parts), np.uint8)
+    heads = np.zeros(len(keys), _HEAD)
+    heads["flags"] = [(k is None) + 2 * (width == 4) for k in keys]
+    heads["key"] = [k or 0 for k in keys]
+    head, body = heads.tobytes(), ids.astype("<u2" if width == 2 else "<u4").tobytes()
+    h = _HEAD.itemsize
+    parts = [head[h * i : h * i + h] + body[a * width : b * width] for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist()))]
+    sizes = np.diff(offsets) * width + h
     ends = np.cumsum(sizes)
-    checks = masked(crc32c_many(raw, ends - sizes, ends)).astype("<u4").tobytes()
+    checks = masked(crc32c_many(np.frombuffer(b"".join(parts), np.uint8), ends - sizes, ends)).astype("<u4").tobytes()
     lengths = sizes.astype("<u8").tobytes()
     at = np.arange(len(parts)) * 8
     length_checks = masked(crc32c_many(np.frombuffer(lengths, np.uint8), at, at + 8)).astype("<u4").tobytes()
