@@ -24,7 +24,9 @@ from strandline.llm.shared import texts
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
+#: Bounds of the sample that costs and selectivities are estimated on; verdicts see whole texts of all rows.
 SAMPLE_ROWS = 500
+SAMPLE_CHARS = 20_000
 
 
 @dataclass(frozen=True)
@@ -96,9 +98,8 @@ def order_rules(df: DataFrame, rules: tuple = RULES, text: str = "text", sample_
     """
     if not rules:
         return []
-    from strandline.llm.shared import cut
-
-    sample = cut(with_metrics(df.select(text).limit(sample_rows), text).drop(text))
+    taken = df.select(F.substring(texts(text), 1, SAMPLE_CHARS).alias(text)).take(sample_rows)
+    sample = with_metrics(df.sparkSession.createDataFrame([(r[text],) for r in taken], f"`{text}` string"), text).drop(text).cache()
     first = sample.agg(F.count("*").alias("n"), *(F.sum(rejected_by(r).cast("long")).alias(f"r{i}") for i, r in enumerate(rules))).first()
     n = max(first["n"], 1)
     out = []
@@ -107,6 +108,7 @@ def order_rules(df: DataFrame, rules: tuple = RULES, text: str = "text", sample_
         sample.agg(F.sum(rejected_by(rule).cast("long"))).collect()
         cost = time.perf_counter() - began
         out.append({"rule": rule, "cost": cost, "rejects": (first[f"r{i}"] or 0) / n})
+    sample.unpersist()
     return sorted(out, key=lambda x: (-(x["rejects"] / x["cost"]), x["cost"]))
 
 
