@@ -33,7 +33,7 @@ from strandline.llm.shared import flat_bytes, no_nulls
 SEED = 29
 SHIFT = 10.0
 SHARPNESS = 1.0
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 #: Weight of each byte of a character outside the vocabulary.
 BYTE_WEIGHT = 1e-6
 
@@ -322,8 +322,20 @@ def decode_pieces(ids: Column, model: str) -> Column:
 
 
 def encode_documents(df: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
-    """``df`` with the column ``pieces``. One pass, no shuffle."""
-    return df.withColumn("pieces", sample_pieces(F.col(text), F.col(key), model, seed))
+    """``df`` with the column ``pieces`` (in place of one of that name). One pass, no shuffle; results stream out by slices."""
+    df = df.drop("pieces")
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, pieces array<int>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler.of(model)
+        for batch in batches:
+            values = no_nulls(batch.column(text).cast(pa.string()))
+            for a, b in _slices(values, BATCH_BYTES):
+                ids, offsets = sampler.sample(values.slice(a, b - a), row_keys(batch.column(key).slice(a, b - a)), seed)
+                own = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], names=[*own.schema.names, "pieces"])
+
+    return df.mapInArrow(run, schema)
 
 
 def encode_and_check(df: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = SEED) -> DataFrame:
