@@ -28,19 +28,29 @@ def url_path(url: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(full, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1), r";[^/]*$", "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def page_type(url: Column) -> Column:
     """Category of a page by the first telling segment of its path."""
-    own = original_url(url)
-    segments = F.filter(F.split(F.lower(url_path(own)), "/"), lambda s: (s != "") & ~s.isin(NOISE_SEGMENTS))
-    first = F.try_element_at(segments, F.lit(1))
-    host = F.regexp_extract(own, r"^(?:[^:/?#]+://)?([^/?#]*)", 1)
-    broken = host.contains("[") != host.contains("]")
-    out = F.when(url.isNull() | broken, "other").when(first.isNull() | (first == "home") | first.rlike(r"^index\.\w+$"), "homepage")
-    for name, words in PAGE_TYPES.items():
-        out = out.when(first.isin(words), name)
-    for prefix in BIOGRAPHY_PREFIXES:
-        out = out.when(first.startswith(prefix), "biography")
-    return out.otherwise("other")
+    known = F.create_map(*(F.lit(x) for kind, names in PAGE_TYPES.items() for name in names for x in (name, kind)))
+
+    def by_segment(first: Column) -> Column:
+        prefixed = F.lit(False)
+        for prefix in BIOGRAPHY_PREFIXES:
+            prefixed = prefixed | first.startswith(prefix)
+        home = first.isNull() | (first == "home") | first.rlike(r"^index\.\w+$")
+        return F.when(home, "homepage").otherwise(F.coalesce(F.try_element_at(known, first), F.when(prefixed, "biography"), F.lit("other")))
+
+    def by_url(own: Column) -> Column:
+        segments = F.filter(F.split(F.lower(url_path(own)), "/"), lambda s: (s != "") & ~s.isin(NOISE_SEGMENTS))
+        host = F.regexp_extract(own, r"^(?:[^:/?#]+://)?([^/?#]*)", 1)
+        broken = host.contains("[") != host.contains("]")
+        return F.when(own.isNull() | broken, "other").otherwise(_once(F.try_element_at(segments, F.lit(1)), by_segment))
+
+    return _once(original_url(url), by_url)
 
 
 def priority(kind: Column) -> Column:
