@@ -73,6 +73,11 @@ def progress_rows(captures: DataFrame, failed: bool = False) -> DataFrame:
     return captures.select(F.col("wayback_url").alias("url"), "candidate", "state", "office", "year", F.lit(0 if failed else 1).alias("scrape_complete"), F.lit(int(failed)).alias("scrape_error"))
 
 
+def status_counts(progress: DataFrame) -> DataFrame:
+    """Captures finished, failed and in all."""
+    return progress.agg(F.count("*").alias("n"), F.coalesce(F.sum("scrape_complete"), F.lit(0)).alias("n_complete"), F.coalesce(F.sum("scrape_error"), F.lit(0)).alias("n_failed"))
+
+
 def longest_snapshot(pages: DataFrame, key=("candidate", "state", "office", "year")) -> DataFrame:
     """Of each candidate the page with the most characters (ties: date, then url)."""
     order = Window.partitionBy(*key).orderBy(F.col("n_char").desc(), "date", "snap_url")

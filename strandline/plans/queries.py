@@ -277,7 +277,8 @@ def _store(spark, sf_dir) -> DataFrame:
     url = F.concat(F.lit("http://p"), F.col("page_id").cast("string"), F.lit(".example.org/"))
     main = pages.select(U.archive_url(F.lit("20200101000000"), url).alias("url"), F.concat(F.lit(TOOLBAR_END), "html", tail, F.lit(FOOTER)).alias("html"))
     about = pages.select(U.archive_url(F.lit("20200101000000"), F.concat(url, F.lit("about"))).alias("url"), F.concat(F.lit(TOOLBAR_END + "<p>About page "), F.col("page_id").cast("string"), F.lit("</p>" + FOOTER)).alias("html"))
-    return page_store(main.unionByName(about))
+    # Frames, links and pages all join the parsed pages: parsed once, kept while the query runs, rebuilt if an executor goes.
+    return page_store(main.unionByName(about)).persist()
 
 
 def _homes(spark, sf_dir) -> DataFrame:

@@ -202,3 +202,33 @@ def test_entry_and_queries_import():
     import __spark_entry__ as entry
 
     assert {"page_type_classify", "snapshot_rows"} <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_command_line(spark, tmp_path):
+    from strandline.plans import cli
+
+    assert cli.years(2018, 2023) == [2018, 2020, 2022] and cli.years(2020, None) == [2020]
+    line = "|".join(["H1", "DOE, JANE", "DEM", "2020", "OH", "H", "01", "I", "C", "C1", "s", "", "c", "OH", "1"])
+    (tmp_path / "cn2020.txt").write_text(line)
+    spark.createDataFrame([("C1", "a.com")], "pcc string, website string").write.parquet(f"{tmp_path}/committees")
+    cli.main(["roster", "--candidates", f"{tmp_path}/cn{{year}}.txt", "--office", "house", "--years", "2020", "--committees", f"{tmp_path}/committees", "--out", f"{tmp_path}/roster"], spark)
+    (tmp_path / "index").write_text("20200601000000 http://www.a.com/ 200 text/html\n20190601000000 http://a.com/ 200 text/html\n")
+    html = [(AT + "http://www.a.com/", page('<p>home text</p><a href="/xyz">x</a>')), (AT + "http://www.a.com/xyz", page("<p>other text</p>"))]
+    spark.createDataFrame(html, "url string, html string").write.parquet(f"{tmp_path}/store")
+    for _ in range(2):  # the second run has nothing to do
+        cli.main(["scrape", "--roster", f"{tmp_path}/roster", "--captures", f"{tmp_path}/index", "--store", f"{tmp_path}/store", "--office", "house", "--year", "2020", "--out", f"{tmp_path}/pages", "--progress", f"{tmp_path}/progress"], spark)
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    assert sorted((r.page_type, r.text_snap_content, r.district) for r in pages.collect()) == [("homepage", "home text", "01"), ("other", "other text", "01")]
+    assert S.status_counts(spark.read.parquet(f"{tmp_path}/progress")).first().asDict() == {"n": 1, "n_complete": 1, "n_failed": 0}
+    todo = R.other_pages(tables.page_rows(spark, f"{tmp_path}/pages", "house", 2020))
+    todo.select(T.prompt(F.col("original_url"), F.col("text_excerpt")).alias("prompt"), F.lit("Issues").alias("answer")).write.parquet(f"{tmp_path}/answers")
+    for extra in (["--dry-run"], []):
+        cli.main(["classify", "--pages", f"{tmp_path}/pages", "--all", "--labels", f"{tmp_path}/labels", "--answers", f"{tmp_path}/answers", *extra], spark)
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/labels").collect()] == [("www.a.com/xyz", "issues")]
+
+
+def test_options_load(tmp_path):
+    from strandline.values import Options
+
+    (tmp_path / "o.yaml").write_text("ttl_days: 5\nskip_suffixes: [pdf]\n")
+    assert Options.load(str(tmp_path / "o.yaml")) == Options(ttl_days=5, skip_suffixes=("pdf",))
