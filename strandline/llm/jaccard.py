@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import cut, flat_bytes, no_nulls, pieces_of, texts
+from strandline.llm.shared import cut, flat_bytes, free, no_nulls, pieces_of, texts
 
 WORDS = 5
 #: Shingles in a unit, bytes of text hashed at a time.
@@ -434,5 +434,6 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     Rows whose id is null, or is shared by rows that go and rows that stay, are told apart by no id; they stay.
     """
     found = jaccard_components(docs, key, text)
-    stays = found.groupBy("doc_id").agg(F.max("is_first").alias("stays")).where("doc_id is not null and not stays").select(F.col("doc_id").alias("_gone"))
-    return docs.join(stays, F.col(key) == F.col("_gone"), "left_anti")
+    (gone,) = free(docs, "_gone")
+    goes = found.groupBy("doc_id").agg(F.max("is_first").alias("stays")).where("doc_id is not null and not stays").select(F.col("doc_id").alias(gone))
+    return docs.join(goes, F.col(key) == F.col(gone), "left_anti")

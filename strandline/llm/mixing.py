@@ -9,7 +9,8 @@ Skew: counts are pre-aggregated; rates meet the rows by a broadcast only while t
 ``MOST_SOURCES`` of them (counted first), else by a join salted over ``SALTS`` keys; the shuffle key never is the source.
 
 Defined cases: a null source is a source of its own; a null id hashes as the text ``null``; rows with equal
-ids get equal counts; an empty table stays empty; columns other than ``copy`` and ``shuffle_key`` pass through.
+ids get equal counts; an empty table stays empty; all columns pass through, but a column of the name of
+``copy`` or ``shuffle_key`` (parameters) gives way to the new one.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.shared import free
+
 SEED = 17
 #: Weight of a source: its share to this power, normalised. 1 keeps the shares, 0 makes them equal.
 TEMPERATURE = 0.7
@@ -56,21 +59,22 @@ def source_rates(docs: DataFrame, source: str = "source", weights: dict[str, flo
     return weighed.join(F.broadcast(sums)).select("_source", "n_rows", (F.col("raw") / F.col("raw_sum")).alias("weight"), (F.col("raw") / F.col("raw_sum") * epochs * F.col("total") / F.col("n_rows")).alias("rate"))
 
 
-def mix_sources(docs: DataFrame, source: str = "source", key: str = "doc_id", weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = EPOCHS, seed: int = SEED) -> DataFrame:
+def mix_sources(docs: DataFrame, source: str = "source", key: str = "doc_id", weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = EPOCHS, seed: int = SEED, copy: str = "copy", shuffle_key: str = "shuffle_key") -> DataFrame:
     """``docs`` replicated to the target weights, with ``copy`` (1, 2, ...) and ``shuffle_key``, globally shuffled."""
-    rates = with_cdf(source_rates(docs, source, weights, temperature, epochs)).select("_source", "cdf")
+    of, cdf, deal, salt, at, n = free(docs, "_source", "_cdf", "_deal", "_salt", "_u", "_n")
+    rates = with_cdf(source_rates(docs, source, weights, temperature, epochs)).select(F.col("_source").alias(of), F.col("cdf").alias(cdf))
     if docs.select(source).distinct().count() <= MOST_SOURCES:
-        joined = docs.join(F.broadcast(rates), F.col(source).eqNullSafe(F.col("_source")))
+        joined = docs.join(F.broadcast(rates), F.col(source).eqNullSafe(F.col(of)))
     else:
-        salted = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        dealt = docs.withColumn("_deal", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-        joined = dealt.join(salted, F.col(source).eqNullSafe(F.col("_source")) & (F.col("_deal") == F.col("_salt"))).drop("_deal", "_salt")
+        salted = rates.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = docs.withColumn(deal, F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(salted, F.col(source).eqNullSafe(F.col(of)) & (F.col(deal) == F.col(salt))).drop(deal, salt)
     u = uniform(seed, key)
-    counted = joined.withColumn("_u", u).withColumn("_n", F.size(F.filter("cdf", lambda c: c <= F.col("_u")))).where("_n > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_source", "cdf", "_u", "_n")
-    text = F.concat_ws(":", F.lit(str(seed)), F.lit("shuffle"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("copy").cast("string"))
-    keyed = copies.withColumn("shuffle_key", F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long"))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "copy")
+    counted = joined.withColumn(at, u).withColumn(n, F.size(F.filter(cdf, lambda c: c <= F.col(at)))).where(F.col(n) > 0)
+    copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(of, cdf, at, n)
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit("shuffle"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col(copy).cast("string"))
+    keyed = copies.withColumn(shuffle_key, F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long"))
+    return keyed.repartition(shuffle_key).sortWithinPartitions(shuffle_key, copy)
 
 
 def oracle(seed: int = SEED, temperature: float = TEMPERATURE, epochs: float = EPOCHS) -> str:

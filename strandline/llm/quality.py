@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import flat_bytes, no_nulls, texts
+from strandline.llm.shared import flat_bytes, free, no_nulls, texts
 
 MOST_ROWS = 3000
 MOST_CHARS = 6000
@@ -153,5 +153,5 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` predicted good, columns unchanged."""
-    scored = score_texts(docs, fit(docs, labels, key=key, text=text), text, "_score")
-    return scored.where(F.col("_score") >= CUT).drop("_score")
+    (score,) = free(docs, "_score")
+    return score_texts(docs, fit(docs, labels, key=key, text=text), text, score).where(F.col(score) >= CUT).drop(score)

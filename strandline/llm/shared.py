@@ -54,6 +54,17 @@ def texts(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of ``df`` has it: for columns that only an operator sees."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def pieces_of(batch: pa.RecordBatch, column: str, most: int = 16_000_000):
     """Slices of a batch with at most about ``most`` bytes in ``column`` each (a longer single row stays whole)."""
     import numpy as np

@@ -367,3 +367,23 @@ def test_pipeline_stages(spark, tmp_path):
         if name == "n-gram Jaccard join":
             assert {r.doc_id for r in df.collect()} == set(range(60))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == df.count() > 0
+
+
+def test_operators_keep_columns_of_any_name(spark, tmp_path):
+    """Extra columns may bear the names that operators and stages use inside or add; they pass through with their values."""
+    import corpus_pipeline
+
+    extra = "_gone _score _source _cdf _deal _salt _u _n cdf copy Shuffle_Key rate comp n key _text _key _label is_first n_words".split()
+    rows = [(1, prose(1), "a"), (2, prose(1) + " end", "a"), (3, prose(3), None), (None, None, "a"), (4, "", "b"), (5, "", "b")]
+    table = spark.createDataFrame([(k, t, "en", s, 0, *extra) for k, t, s in rows], ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *(f"{x} string" for x in extra)]))
+    spark.createDataFrame([(i, 1, 0) for i in range(1, 6)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, table, str(tmp_path))
+        assert [c for c in out.columns if c != "pieces"] == table.columns, name
+        kept = out.collect()
+        assert kept and all(r[x] == x for r in kept for x in extra), name
+        assert stage(spark, table.limit(0), str(tmp_path)).count() == 0, name
+    for report in (secrets.secrets_report, jaccard.jaccard_components, rules.judge):
+        assert report(table).count() == len(rows)
+    mixed = mixing.mix_sources(table).collect()
+    assert all(r["copy"] >= 1 and r["_n"] == "_n" for r in mixed)
