@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import jaccard, mixing, pieces, quality, secrets
-from strandline.llm.shared import cut, table
+from strandline.llm.shared import cut, free, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,8 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(docs).drop("copy", "shuffle_key")
+    copy, shuffle_key = free(docs, "copy", "shuffle_key")
+    return mixing.mix_sources(docs, copy=copy, shuffle_key=shuffle_key).drop(copy, shuffle_key)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
