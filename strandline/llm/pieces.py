@@ -142,14 +142,14 @@ class Sampler:
         """(start, end, piece) of all edges over ``raw``; ``ends[i]`` is where the unit of byte i ends."""
         n = len(raw)
         head = (raw & 0xC0) != 0x80
-        at = np.flatnonzero(head)
+        at = np.flatnonzero(head).astype(np.int32)  # a slice has under 2^31 bytes: half the memory of the default
         node = np.zeros(len(at), np.int32)
-        width = np.ones(n, np.int64)
+        width = np.ones(n, np.int8)
         width[raw >= 0xC0], width[raw >= 0xE0], width[raw >= 0xF0] = 2, 3, 4
         single = np.zeros(n, bool)  # characters that are pieces
         found = []
         for length in range(1, self.trie.depth + 1):
-            inside = at + length <= ends[at]
+            inside = at + np.int32(length) <= ends[at]
             at, node = at[inside], node[inside]
             if not len(at):
                 break
@@ -158,12 +158,12 @@ class Sampler:
             at, node = at[live], node[live]
             piece = self.trie.piece[node]
             whole = piece >= 0
-            found.append((at[whole], at[whole] + length, piece[whole]))
+            found.append((at[whole], at[whole] + np.int32(length), piece[whole]))
             single[at[whole & (width[at] == length)]] = True
         lone = head & ~single  # heads of characters that no piece is
-        owner = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-        chain = np.flatnonzero(lone[owner])
-        found.append((chain, chain + 1, self.byte_id[raw[chain]]))
+        owner = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), np.int32(0)))
+        chain = np.flatnonzero(lone[owner]).astype(np.int32)
+        found.append((chain, chain + np.int32(1), self.byte_id[raw[chain]]))
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def _filter(self, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray):
@@ -173,11 +173,11 @@ class Sampler:
         among those with its end, shifted by the end's number so that one ascending array holds all.
         """
         n = len(raw)
-        begin = np.repeat(starts, stops - starts)
-        a, b, piece = self._edges(raw, np.repeat(stops, stops - starts))
+        begin = np.repeat(starts.astype(np.int32), stops - starts)
+        a, b, piece = self._edges(raw, np.repeat(stops.astype(np.int32), stops - starts))
         order = np.argsort(b, kind="stable")
         a, b, piece = a[order], b[order], piece[order]
-        weight = self.log[piece]
+        del order
         # alpha by node; a unit's start has its own place, as the end of the unit before may be the same byte boundary
         alpha = np.full(n + 1, -np.inf)
         first = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
@@ -187,29 +187,30 @@ class Sampler:
         far = node - begin[node - 1]
         by = np.argsort(far, kind="stable")
         cuts = np.flatnonzero(np.r_[True, np.diff(far[by]) > 0, True])
-        total = np.empty(len(b))
+        share = np.empty(len(b))
         at_start = a == begin[a] if len(a) else np.zeros(0, bool)
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             ks = by[lo:hi]
             m = sizes[ks]
             to = np.cumsum(m)
             edges = np.repeat(first[ks] - (to - m), m) + np.arange(to[-1])
-            value = np.where(at_start[edges], 0.0, alpha[a[edges]]) + weight[edges]
+            value = np.where(at_start[edges], 0.0, alpha[a[edges]]) + self.log[piece[edges]]
             top = np.maximum.reduceat(value, to - m)
             top = np.where(np.isfinite(top), top, 0.0)
-            with np.errstate(divide="ignore"):
-                alpha[node[ks]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, m)), to - m))
-            total[edges] = value
-        with np.errstate(invalid="ignore"):
-            share = np.nan_to_num(np.exp(total - alpha[b]), nan=0.0)
-        run = np.cumsum(share)
-        run -= np.repeat(run[first] - share[first], sizes)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                every = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, m)), to - m))
+                alpha[node[ks]] = every
+                share[edges] = np.nan_to_num(np.exp(value - np.repeat(every, m)), nan=0.0)
+        ladder = np.cumsum(share)
+        ladder -= np.repeat(ladder[first] - share[first], sizes)
+        del share
         number = np.arange(len(first))
-        ladder = np.minimum(run, 1.0) + np.repeat(number, sizes)
+        np.minimum(ladder, 1.0, out=ladder)
+        ladder += np.repeat(number, sizes)
         ladder[first + sizes - 1] = number + 1.0
         rank = np.full(n + 1, -1, np.int64)
         rank[node] = number
-        return a, piece, ladder, rank, share
+        return a, piece, ladder, rank
 
     def sample(self, values: pa.Array, keys: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
         """(all piece ids, offsets by row) of texts without nulls; keys: uint64 by row."""
@@ -235,7 +236,7 @@ class Sampler:
         codes = coded.indices.to_numpy(zero_copy_only=False)
         own, unit_ends = flat_bytes(coded.dictionary)
         unit_starts, unit_ends = unit_ends[:-1], unit_ends[1:]
-        a, piece, ladder, rank, _ = self._filter(own, unit_starts, unit_ends)
+        a, piece, ladder, rank = self._filter(own, unit_starts, unit_ends)
         with np.errstate(over="ignore"):
             base = mix(mix(keys + np.uint64(seed) * _GOLD)[row] + place * _GOLD)
         live = np.arange(len(starts))
