@@ -5,7 +5,9 @@ Two documents link when 100 * |A and B| >= 75 * |A or B| over their sets of dist
 of the shingles' hashes. All results are exact for those hashes (48 bits for overlaps, 128 for whole sets).
 
 1. Each unit's blocks go to the tasks of their column range, which count each column's documents. Columns of
-   one document never add to an overlap; the others return to their unit with their count.
+   one document never add to an overlap; the others return to their unit with their count. A unit counts the columns that
+   several of its own documents hold and sends one number for each; their documents stay with the unit's facts. So
+   a column that a third of all rows hold sends an entry a unit, not an entry a row.
 2. Each document's columns are ordered rarest first. A partner holds at least 75 % of its shingles,
    so one of the first n - ceil(0.75 n) + 1 is common to both. These columns alone enter the product, and documents
    whose rare columns fill them (most of a corpus) have no candidates. Common passages come last in the order.
@@ -131,19 +133,27 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
 
-BLOCKS = pa.schema([("block", pa.int32()), ("unit", pa.int64()), ("info", pa.bool_()), ("data", pa.binary())])
-UNITS = pa.schema([("unit", pa.int64()), ("info", pa.bool_()), ("data", pa.binary()), ("counts", pa.binary())])
+#: What a row holds: a unit's facts; columns of one of its documents with that document; columns of several with their number.
+FACTS, SINGLE, SEVERAL = 0, 1, 2
+BLOCKS = pa.schema([("block", pa.int32()), ("unit", pa.int64()), ("kind", pa.int32()), ("data", pa.binary()), ("held", pa.binary())])
+UNITS = pa.schema([("unit", pa.int64()), ("kind", pa.int32()), ("data", pa.binary()), ("held", pa.binary())])
 ROWS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("same", pa.binary()), ("prefix", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
 _DDL = {
-    "blocks": "block int, unit long, info boolean, data binary",
-    "units": "unit long, info boolean, data binary, counts binary",
+    "blocks": "block int, unit long, kind int, data binary, held binary",
+    "units": "unit long, kind int, data binary, held binary",
     "rows": "key long, doc_id long, n long, same binary, prefix array<long>, grams array<long>",
 }
 _INFO = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<i8"), ("same", "S16")])
 
 
+def _runs(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the first, number) of each run of equal values."""
+    first = np.flatnonzero(np.r_[True, ascending[1:] != ascending[:-1]]) if len(ascending) else np.zeros(0, np.int64)
+    return first, np.diff(np.r_[first, len(ascending)])
+
+
 def _to_blocks(blocks: int):
-    """Rows (id, text) to the blocks of the incidence matrix, and a row of facts for each unit."""
+    """Rows (id, text) to the blocks of the incidence matrix, and a row for each unit: its facts, and who holds its columns of several."""
     bounds = [((b << 48) + blocks - 1) // blocks for b in range(blocks)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +170,12 @@ def _to_blocks(blocks: int):
             info["doc_id"], info["null"], info["n"] = [f[0] or 0 for f in facts], [f[0] is None for f in facts], [f[1] for f in facts]
             raw = np.ascontiguousarray(info).view(np.uint8).reshape(len(facts), _INFO.itemsize)
             raw[:, -16:] = np.frombuffer(digests, np.uint8).reshape(len(facts), 16)
-            cuts = np.r_[np.searchsorted(g, np.array(bounds, np.uint64)), len(g)]
-            rows = [(unit % blocks, unit, True, raw.tobytes())]
-            rows += [(b, unit, False, _pack(g[x:y], o[x:y])) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+            first, count = _runs(g)
+            several = np.repeat(count > 1, count)
+            rows = [(unit % blocks, unit, FACTS, raw.tobytes(), _pack(g[several], o[several]))]
+            for kind, columns, values in ((SINGLE, g[~several], o[~several]), (SEVERAL, g[first[count > 1]], count[count > 1].astype(np.uint32))):
+                cuts = np.r_[np.searchsorted(columns, np.array(bounds, np.uint64)), len(columns)]
+                rows += [(b, unit, kind, _pack(columns[x:y], values[x:y]), b"") for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
             return _batch(rows, BLOCKS)
 
         for batch in batches:
@@ -189,31 +202,30 @@ def _to_blocks(blocks: int):
 
 def _count_columns(table: pa.Table) -> pa.Table:
     """A column range: keeps the columns of two documents or more, with the class of their count, by unit."""
-    info = table.column("info").to_pylist()
-    units, data = table.column("unit").to_pylist(), table.column("data")
-    rows, grams, owners, at = [], [], [], []
-    for i, is_info in enumerate(info):
-        if is_info:
-            rows.append((units[i], True, data[i].as_py(), b""))
+    rows, grams, values, at = [], [], [], []
+    for unit, kind, data, held in zip(table.column("unit").to_pylist(), table.column("kind").to_pylist(), table.column("data"), table.column("held")):
+        if kind == FACTS:
+            rows.append((unit, FACTS, data.as_py(), held.as_py()))
         else:
-            g, o = _unpack(data[i].as_py())
+            g, v = _unpack(data.as_py())
             grams.append(g)
-            owners.append(o)
-            at.append(units[i])
+            values.append(v)
+            at.append((unit, kind))
     if grams:
-        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
         g = np.concatenate(grams)
+        weight = np.concatenate([v if kind == SEVERAL else np.ones(len(v), np.uint32) for v, (_, kind) in zip(values, at)])
         order = np.argsort(g, kind="stable")
-        ascending = g[order]
-        first = np.flatnonzero(np.r_[True, ascending[1:] != ascending[:-1]])
-        count = np.diff(np.r_[first, len(g)])
+        first, entries = _runs(g[order])
+        count = np.add.reduceat(weight[order].astype(np.int64), first)
         each = np.zeros(len(g), np.uint8)
-        each[order] = np.repeat(np.minimum(np.floor(4 * np.log2(count)), 255).astype(np.uint8), count)
-        ends = np.cumsum(sizes)
-        for unit, g, o, a, b in zip(at, grams, owners, ends - sizes, ends):
-            more = each[a:b] > 0
+        each[order] = np.repeat(np.minimum(np.floor(4 * np.log2(count)), 255).astype(np.uint8), entries)
+        del weight, order
+        ends = np.cumsum([len(x) for x in grams])
+        for (unit, kind), g, v, b in zip(at, grams, values, ends.tolist()):
+            classes = each[b - len(g) : b]
+            more = classes > 0
             if more.any():
-                rows.append((unit, False, _pack(g[more], o[more]), each[a:b][more].tobytes()))
+                rows.append((unit, kind, _pack(g[more], v[more] if kind == SINGLE else np.zeros(int(more.sum()), np.uint32)), classes[more].tobytes()))
     return pa.Table.from_batches([_batch(rows, UNITS)] if rows else [], UNITS)
 
 
@@ -224,14 +236,19 @@ def prefix_size(n: np.ndarray) -> np.ndarray:
 
 def _to_rows(table: pa.Table) -> pa.Table:
     """A unit: a row for each document; candidates with their prefix and all their shared columns."""
-    facts, parts = None, []
-    for info, data, counts in zip(table.column("info").to_pylist(), table.column("data"), table.column("counts")):
-        if info:
+    facts, parts, several = None, [], []
+    for kind, data, held in zip(table.column("kind").to_pylist(), table.column("data"), table.column("held")):
+        if kind == FACTS:
             facts = np.frombuffer(data.as_py(), _INFO)
             same = np.frombuffer(data.as_py(), np.uint8).reshape(len(facts), _INFO.itemsize)[:, -16:]
+            holders = _unpack(held.as_py())
         else:
-            parts.append((*_unpack(data.as_py()), np.frombuffer(counts.as_py(), np.uint8)))
+            (parts if kind == SINGLE else several).append((*_unpack(data.as_py()), np.frombuffer(held.as_py(), np.uint8)))
     unit = table.column("unit")[0].as_py()
+    if several:
+        columns, _, counts = (np.concatenate(x) for x in zip(*several))
+        order = np.argsort(columns)
+        parts.append((*holders, counts[order][np.searchsorted(columns[order], holders[0])]))
     if parts:
         grams, owners, counts = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((grams, counts, owners))
