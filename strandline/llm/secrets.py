@@ -1,11 +1,12 @@
 """Secret scans: known key formats, and sliding-window Shannon entropy over candidate strings.
 
 Base kinds (leftmost, non-overlapping for each kind, too short matches dropped):
-``assign``, ``access``, ``hex``. The entropy scan adds ``entropy_hex`` and ``entropy_base64``: for each
+``assign``, ``access``, ``hex``. The entropy scan adds the other ``KINDS``: for each
 candidate string of at least ``WINDOW`` characters, a window moves over it while the counts of its
-characters are kept up to date, so a step costs two count changes whatever the window's length. Windows
-at or above the class's threshold are merged to spans. Candidates that match the allow-list, and spans
-inside a base span, are suppressed; base spans always stay.
+characters are kept up to date, so a step costs two count changes whatever the window's length. Each window has the
+class of its own characters and is measured by that class's threshold; windows that read as words are passed over. The
+others at or above the threshold are merged to spans, named by the widest class in them. Candidates that match the
+allow-list, and spans inside a base span, are suppressed; base spans always stay.
 
 Defined cases: null and empty texts have no spans; whole texts are read, whatever their length; equal
 texts get equal spans; other columns pass through untouched.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,12 +29,21 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_letters", "entropy_base32", "entropy_base36", "entropy_mixed", "entropy_base64")
 
-#: Characters in the window, and bits per character at which a window counts as random, for each class.
+#: Characters in the window, and bits per character at which a window counts as random, for each class (narrowest first):
+#: some 2.3 to 3 standard deviations below the expected entropy of 20 characters drawn from 16, 26, 32, 36, 52 and 64.
 WINDOW = 20
-THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.7}
+THRESHOLDS = {"entropy_hex": 3.0, "entropy_letters": 3.25, "entropy_base32": 3.4, "entropy_base36": 3.45, "entropy_mixed": 3.65, "entropy_base64": 3.7}
 HEX_ONLY = re.compile(r"[0-9a-fA-F]+\Z")
+#: Pairs of letters that are common in words of languages in Latin script: most pairs in prose, a fifth of random ones.
+PAIRS = frozenset(
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra "
+    "ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee "
+    "wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh ir su id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op "
+    "wo sa ay ex ke ui fr oo ag ei sc au ck qu ue do da iz za "
+    "if ff fa ft ls ud ah hr pf up sp ov zu ru gr br kt eu".split()
+)
 
 #: Candidates that look random but are public by their form.
 ALLOW = (
@@ -40,7 +51,6 @@ ALLOW = (
     re.compile(r"(?i).*(example|sample|dummy|placeholder|changeme|your[_-]?(api)?[_-]?key)"),
     re.compile(r"(?i)(sha(1|256|384|512)|md5)[-=]"),  # integrity digests
     re.compile(r"(?i).*(abcdefghij|0123456789|zyxwvutsrq)"),  # alphabets
-    re.compile(r"(?:/?[A-Za-z]+(?:[_-][A-Za-z]+)*)+/?\Z"),  # paths and names made of letters only
 )
 #: A cheap superset of all that can match, for a linear-time regex engine.
 MAY_MATCH = r"(?i:passw(or)?d|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|[A-Za-z0-9+/_=\-]{20}"
@@ -50,39 +60,79 @@ SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end",
 _BITS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
-def windows(text: str, threshold: float, width: int = WINDOW) -> list[tuple[int, int]]:
-    """Merged [start, end) of the windows of ``width`` characters whose entropy is at least ``threshold``."""
+def _ends(text: str, threshold: float, width: int = WINDOW) -> Iterator[tuple[int, float]]:
+    """(end, entropy) of each window of ``width`` characters whose entropy is at least ``threshold``."""
     bits = _BITS if width == WINDOW else [0.0] + [c * math.log2(c) for c in range(1, width + 1)]
     counts: dict[str, int] = {}
-    found: list[tuple[int, int]] = []
     total = 0.0  # sum of c * log2(c); entropy = log2(width) - total / width
     most = (math.log2(width) - threshold) * width + 1e-9
     for i, new in enumerate(text):
-        c = counts.get(new, 0)
-        total += bits[c + 1] - bits[c] if c < width else 0.0
-        counts[new] = c + 1
         if i >= width:
             old = text[i - width]
             c = counts[old]
             total += bits[c - 1] - bits[c]
             counts[old] = c - 1
+        c = counts.get(new, 0)
+        total += bits[c + 1] - bits[c]
+        counts[new] = c + 1
         if i >= width - 1 and total <= most:
-            start = i - width + 1
-            if found and start <= found[-1][1]:
-                found[-1] = (found[-1][0], i + 1)
-            else:
-                found.append((start, i + 1))
+            yield i + 1, math.log2(width) - total / width
+
+
+def windows(text: str, threshold: float, width: int = WINDOW) -> list[tuple[int, int]]:
+    """Merged [start, end) of the windows of ``width`` characters whose entropy is at least ``threshold``."""
+    found: list[tuple[int, int]] = []
+    for end, _ in _ends(text, threshold, width):
+        start = end - width
+        if found and start <= found[-1][1]:
+            found[-1] = (found[-1][0], end)
+        else:
+            found.append((start, end))
     return found
 
 
-def kind_of(candidate: str) -> str | None:
-    """The character class under which a candidate is measured; None if prose can look like it."""
-    digits = any("0" <= c <= "9" for c in candidate)
-    if not digits:
+def kind_of(window: str) -> str | None:
+    """The character class under which a window is measured; None without a letter."""
+    if window.upper() == window.lower():
         return None
-    if HEX_ONLY.match(candidate):
-        return "entropy_hex" if any(c in "abcdefABCDEF" for c in candidate) else None
-    return "entropy_base64" if any("A" <= c <= "Z" for c in candidate) and any("a" <= c <= "z" for c in candidate) or sum("0" <= c <= "9" for c in candidate) * 8 >= len(candidate) else None
+    if HEX_ONLY.match(window):
+        return "entropy_hex"
+    if not window.isalnum():
+        return "entropy_base64"
+    one_case = window.isupper() or window.islower()
+    if window.isalpha():
+        return "entropy_letters" if one_case else "entropy_mixed"
+    if one_case:
+        return "entropy_base36" if any(c in "0189" for c in window) else "entropy_base32"
+    return "entropy_base64"
+
+
+def reads_as_words(window: str, kind: str) -> bool:
+    """True where more than half of the pairs of neighbouring letters, at least four of them, are common in words.
+
+    Never of ``entropy_hex``, whose six letters make few words, nor of mixed case with a digit, which words seldom have.
+    """
+    lower = window.lower()
+    if kind == "entropy_hex" or (kind == "entropy_base64" and window not in (lower, window.upper()) and any("0" <= c <= "9" for c in window)):
+        return False
+    pairs = [a + b for a, b in zip(lower, lower[1:]) if a.isalpha() and b.isalpha()]
+    return len(pairs) >= 4 and sum(p in PAIRS for p in pairs) * 2 > len(pairs)
+
+
+def random_spans(candidate: str) -> list[tuple[str, int, int]]:
+    """Merged (kind, start, end) of the windows that are random for their own class and do not read as words."""
+    found: list[tuple[str, int, int]] = []
+    for end, entropy in _ends(candidate, min(THRESHOLDS.values())):
+        start = end - WINDOW
+        window = candidate[start:end]
+        kind = kind_of(window)
+        if kind is None or entropy < THRESHOLDS[kind] - 1e-9 or reads_as_words(window, kind):
+            continue
+        if found and start <= found[-1][2]:
+            found[-1] = (max(found[-1][0], kind, key=KINDS.index), found[-1][1], end)
+        else:
+            found.append((kind, start, end))
+    return found
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -95,10 +145,9 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         if m.end() - m.start() < WINDOW:
             continue
         candidate = m.group()
-        kind = kind_of(candidate)
-        if kind is None or any(a.match(candidate) for a in ALLOW):
+        if any(a.match(candidate) for a in ALLOW):
             continue
-        for start, end in windows(candidate, THRESHOLDS[kind]):
+        for kind, start, end in random_spans(candidate):
             start, end = start + m.start(), end + m.start()
             if not any(s <= start and end <= e for s, e in base):
                 spans.append((kind, start, end))
@@ -163,5 +212,5 @@ def secrets_report(df: DataFrame, text: str = "text", key: str = "doc_id") -> Da
         *(count(k).alias(f"n_{k}") for k in KINDS[:3]),
         F.sha2(digest(base), 256).alias("base_sha256"),
         digest(F.col("secrets")).alias("spans"),
-        (count(KINDS[3]) + count(KINDS[4])).alias("n_entropy"),
+        F.size(F.filter("secrets", lambda x: x["kind"].isin(*THRESHOLDS))).cast("long").alias("n_entropy"),
     )

@@ -58,6 +58,18 @@ def test_entropy_adds_and_allow_list_suppresses():
     assert secrets.scan("internationalization-and-localization of words") == []
 
 
+def test_entropy_finds_random_keys_of_any_alphabet_and_no_words():
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    rnd = random.Random(5)
+    for letters in (upper, lower, upper + lower, upper + "234567", lower + digits, upper + digits, upper + lower + digits):
+        for n, share in ((20, 0.9), (32, 0.97)):
+            found = sum(bool(secrets.scan("key " + "".join(rnd.choice(letters) for _ in range(n)))) for _ in range(200))
+            assert found >= share * 200, (letters, n, found)
+    for words in ("src/main/resources/application_properties", "RegistryPostProcessorFactoryBean", "release-notes-2024-05-for-customers", "donaudampfschifffahrtsgesellschaft"):
+        assert secrets.scan(words) == [], words
+    assert secrets.scan("a1B" + "x" * 60) == []
+
+
 def test_secret_report_odd_rows(spark):
     out = secrets.secrets_report(docs(spark)).collect()
     empty = hashlib.sha256(b"").hexdigest()
