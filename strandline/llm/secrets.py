@@ -5,8 +5,9 @@ Base kinds (leftmost, non-overlapping for each kind, too short matches dropped):
 candidate string of at least ``WINDOW`` characters, a window moves over it while the counts of its
 characters are kept up to date, so a step costs two count changes whatever the window's length. Each window has the
 class of its own characters and is measured by that class's threshold; windows that read as words are passed over. The
-others at or above the threshold are merged to spans, named by the widest class in them. Candidates that match the
-allow-list, and spans inside a base span, are suppressed; base spans always stay.
+others at or above the threshold are merged to spans, named by the widest class in them. The allow-list takes its own parts
+out of a candidate (a digest, or the run of letters and digits around a word), and the rest is measured. Spans inside
+a base span are suppressed; base spans always stay.
 
 Defined cases: null and empty texts have no spans; whole texts are read, whatever their length; equal
 texts get equal spans; other columns pass through untouched.
@@ -45,13 +46,17 @@ PAIRS = frozenset(
     "if ff fa ft ls ud ah hr pf up sp ov zu ru gr br kt eu".split()
 )
 
-#: Candidates that look random but are public by their form.
+#: Parts of a candidate that look random but are public by their form.
 ALLOW = (
-    re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z"),  # UUIDs
-    re.compile(r"(?i).*(example|sample|dummy|placeholder|changeme|your[_-]?(api)?[_-]?key)"),
-    re.compile(r"(?i)(sha(1|256|384|512)|md5)[-=]"),  # integrity digests
-    re.compile(r"(?i).*(abcdefghij|0123456789|zyxwvutsrq)"),  # alphabets
+    re.compile(r"(?<![^/=])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![^/=])"),  # UUIDs
+    *(  # integrity digests, of their own length in hexadecimal or base64
+        re.compile(rf"(?<![A-Za-z0-9])(?i:{name})[-=](?:[0-9a-fA-F]{{{size * 2}}}(?![A-Za-z0-9])|[A-Za-z0-9+/_-]{{{-(-size * 4 // 3)}}}(?:={{1,2}}|(?![A-Za-z0-9+/_-])))")
+        for name, size in (("md5", 16), ("sha1", 20), ("sha256", 32), ("sha384", 48), ("sha512", 64))
+    ),
 )
+#: Words and alphabets that make the run of letters and digits around them public.
+ALLOW_WORDS = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]?(?:api)?[_-]?key|abcdefghij|0123456789|zyxwvutsrq")
+RUN = re.compile(r"[A-Za-z0-9]*")
 #: A cheap superset of all that can match, for a linear-time regex engine.
 MAY_MATCH = r"(?i:passw(or)?d|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|[A-Za-z0-9+/_=\-]{20}"
 SECRETS = "array<struct<kind:string,start:int,end:int>>"
@@ -135,6 +140,24 @@ def random_spans(candidate: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def not_public(candidate: str) -> list[tuple[int, int]]:
+    """[start, end) of the parts of a candidate that the allow-list leaves."""
+    public = [m.span() for a in ALLOW for m in a.finditer(candidate)]
+    last = 0
+    for m in ALLOW_WORDS.finditer(candidate):
+        if m.end() > last:
+            start = m.start()
+            while start > last and candidate[start - 1].isalnum():
+                start -= 1
+            last = RUN.match(candidate, m.end()).end()
+            public.append((start, last))
+    left, at = [], 0
+    for start, end in sorted(public):
+        left.append((at, start))
+        at = max(at, end)
+    return [(a, b) for a, b in [*left, (at, len(candidate))] if a < b]
+
+
 def scan(text: str) -> list[tuple[str, int, int]]:
     """All spans of one text as (kind, start, end) in code points, by start, then kind as listed."""
     spans = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
@@ -145,12 +168,11 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         if m.end() - m.start() < WINDOW:
             continue
         candidate = m.group()
-        if any(a.match(candidate) for a in ALLOW):
-            continue
-        for kind, start, end in random_spans(candidate):
-            start, end = start + m.start(), end + m.start()
-            if not any(s <= start and end <= e for s, e in base):
-                spans.append((kind, start, end))
+        for a, b in not_public(candidate):
+            for kind, start, end in random_spans(candidate[a:b]):
+                start, end = start + a + m.start(), end + a + m.start()
+                if not any(s <= start and end <= e for s, e in base):
+                    spans.append((kind, start, end))
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

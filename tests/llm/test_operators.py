@@ -70,6 +70,16 @@ def test_entropy_finds_random_keys_of_any_alphabet_and_no_words():
     assert secrets.scan("a1B" + "x" * 60) == []
 
 
+def test_allow_list_suppresses_its_own_part_only():
+    key = "Zx9Qp2Lm8Vb4Nc7Ty1Rw5K"
+    digest = "uU0nuZNNPgilLlLX2n2r+sSE7+N6U4DukIj3rOLvzek="
+    for text in (f"backups/samples/{key}", f"{key}/0123456789", f"id=example_{key}", f"sha256-{digest}/{key}", f"md5={key}{key}", f"123e4567-e89b-12d3-a456-426614174000/{key}"):
+        covered = {i for _, a, b in secrets.scan(text) for i in range(a, b)}
+        assert covered >= set(range(text.index(key), text.index(key) + len(key))), text
+    for text in (f"sha256-{digest}", f"{key}example", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+        assert secrets.scan(text) == [], text
+
+
 def test_secret_report_odd_rows(spark):
     out = secrets.secrets_report(docs(spark)).collect()
     empty = hashlib.sha256(b"").hexdigest()
