@@ -169,8 +169,8 @@ class Sampler:
     def _filter(self, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray):
         """Forward filtering over units raw[start:stop].
 
-        Gives the edges ordered by (end), each end's first edge, and the running share of each edge
-        among those with its end, shifted by the end's number so that one ascending array holds all.
+        Gives the edges ordered by (end), the running share of each edge among those with its end, and each end's
+        number, first edge and last edge.
         """
         n = len(raw)
         begin = np.repeat(starts.astype(np.int32), stops - starts)
@@ -201,16 +201,24 @@ class Sampler:
                 every = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, m)), to - m))
                 alpha[node[ks]] = every
                 share[edges] = np.nan_to_num(np.exp(value - np.repeat(every, m)), nan=0.0)
-        ladder = np.cumsum(share)
-        ladder -= np.repeat(ladder[first] - share[first], sizes)
-        del share
-        number = np.arange(len(first))
-        np.minimum(ladder, 1.0, out=ladder)
-        ladder += np.repeat(number, sizes)
-        ladder[first + sizes - 1] = number + 1.0
-        rank = np.full(n + 1, -1, np.int64)
-        rank[node] = number
-        return a, piece, ladder, rank
+        # Each node's shares are summed by themselves, so that they round alike wherever the node lies.
+        ladder, last = share, first + sizes - 1
+        for k in range(1, int(sizes.max(initial=1))):
+            at = first[sizes > k] + k
+            ladder[at] += ladder[at - 1]
+        ladder[ladder >= np.repeat(ladder[last], sizes)] = 1.0
+        rank = np.full(n + 1, -1, np.int32)
+        rank[node] = np.arange(len(first))
+        return a, piece, ladder, rank, first, last
+
+    @staticmethod
+    def _drawn(ladder: np.ndarray, low: np.ndarray, high: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """For each draw the first edge from ``low`` to ``high`` whose cumulative share is above ``u``."""
+        for _ in range(int((high - low).max(initial=0)).bit_length()):
+            middle = (low + high) >> 1
+            right = (low < high) & (ladder[middle] <= u)
+            low, high = np.where(right, middle + 1, low), np.where(right, high, middle)
+        return low
 
     def sample(self, values: pa.Array, keys: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
         """(all piece ids, offsets by row) of texts without nulls; keys: uint64 by row."""
@@ -236,7 +244,7 @@ class Sampler:
         codes = coded.indices.to_numpy(zero_copy_only=False)
         own, unit_ends = flat_bytes(coded.dictionary)
         unit_starts, unit_ends = unit_ends[:-1], unit_ends[1:]
-        a, piece, ladder, rank = self._filter(own, unit_starts, unit_ends)
+        a, piece, ladder, rank, first, to = self._filter(own, unit_starts, unit_ends)
         with np.errstate(over="ignore"):
             base = mix(mix(keys + np.uint64(seed) * _GOLD)[row] + place * _GOLD)
         live = np.arange(len(starts))
@@ -249,7 +257,8 @@ class Sampler:
             step += 1
             with np.errstate(over="ignore"):
                 u = (mix(base[live] + np.uint64(step) * _GOLD) >> np.uint64(11)).astype(np.float64) / 2.0**53
-            edge = np.searchsorted(ladder, rank[at[live]] + u, side="right")
+            node = rank[at[live]]
+            edge = self._drawn(ladder, first[node], to[node], u)
             drawn_unit.append(live)
             drawn_piece.append(piece[edge])
             counts[live] = step

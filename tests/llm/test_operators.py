@@ -252,6 +252,13 @@ def sampler():
     return pieces.Sampler.of(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def test_draws_next_to_one_stay_at_their_node(sampler, monkeypatch):
+    text = pa.array(["some words of a text, naïve 日本 too"])
+    monkeypatch.setattr(pieces, "mix", lambda x: np.full_like(x, 2**64 - 1))
+    ids, offsets = sampler.sample(text, np.zeros(1, np.uint64))
+    assert sampler.decode(ids, offsets)[0].tobytes().decode() == text[0].as_py()
+
+
 def test_pieces_are_lossless_and_repeatable(spark, sampler):
     model = public_tokenizers.path("piece_bpe_32k.model")
     rows = ODD + [(20, "  two  spaces\n\n lines \r\n\t"), (21, " "), (22, "▁"), (23, "a▁ b")]
