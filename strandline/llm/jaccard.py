@@ -446,11 +446,14 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one whose id is the component's; columns unchanged.
+    """``docs`` with one row of each component: the one whose id is the least (null last); columns unchanged.
 
-    Rows whose id is null, or is shared by rows that go and rows that stay, are told apart by no id; they stay.
+    Rows are told apart by numbers written with them, so ids may be null, repeated or of any type that has an order.
     """
-    found = jaccard_components(docs, key, text)
-    (gone,) = free(docs, "_gone")
-    goes = found.groupBy("doc_id").agg(F.max("is_first").alias("stays")).where("doc_id is not null and not stays").select(F.col("doc_id").alias(gone))
-    return docs.join(goes, F.col(key) == F.col(gone), "left_anti")
+    number, least, one, x = free(docs, "_number", "_least", "_one", "_null")
+    numbered = cut(docs.withColumn(number, F.monotonically_increasing_id()))
+    found = jaccard_components(numbered, number, text).select(F.col("doc_id").alias(one), F.col("component_id").alias(least))
+    ids = numbered.select(F.col(key).isNull().alias(x), key, number)
+    first = found.join(ids, F.col(one) == F.col(number)).groupBy(least).agg(F.min(F.struct(x, key, number)).alias(one))
+    stay = first.select(F.col(one)[number].alias(one))
+    return numbered.join(stay, F.col(number) == F.col(one), "left_semi").drop(number)

@@ -145,6 +145,14 @@ def test_components_odd_rows_and_kept_rows(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 9, None] and kept.columns == docs(spark).columns
 
 
+def test_one_row_stays_where_ids_are_null_or_repeated(spark):
+    one, two, three = prose(1), prose(2), prose(3)
+    rows = [(4, one), (4, one), (None, two), (None, two), (None, two + " more"), (None, None), (6, three), (5, three), (6, prose(4))]
+    kept = jaccard.keep_one_of_each(docs(spark, rows)).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in kept if r.text not in (two, two + " more")) == collections.Counter([(4, one), (None, None), (5, three), (6, prose(4))])
+    assert len(kept) == 5
+
+
 # --- quality classifier
 
 
