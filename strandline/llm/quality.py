@@ -4,8 +4,10 @@ A text that shares the good dictionary's word forms shrinks more with it than wi
 a logistic function, fitted on training rows that no dictionary saw, of the normalised difference of the two
 compressed sizes (``(bad - good) / (bad + good)``) and of how far either dictionary shrinks the text at all.
 
-Only the fit is bounded: at most ``MOST_ROWS`` labelled rows for each class (those of the least hash of the id)
-and ``MOST_CHARS`` characters of each, so the driver holds a few MB at any input size. Scoring reads whole texts, in one
+Only the fit is bounded, by rows: at most ``MOST_ROWS`` labelled rows for each class (those of the least hash of the id), and of
+these, in that order, the rows that fit in ``MOST_BYTES`` of text; a row is taken whole or not at all. So the driver holds
+no more than that for each class at any input size. The dictionaries learn from blocks spread over the whole of each text, the
+calibration from whole texts. Scoring reads whole texts, in one
 pass without a shuffle: each text is compressed in blocks of ``BLOCK`` bytes, so that long texts are judged by
 the dictionaries and not by their own repeats.
 
@@ -16,6 +18,7 @@ null are never trained on; without rows of both classes every score is the share
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from strandline.llm.shared import flat_bytes, free, no_nulls, texts
 
 MOST_ROWS = 3000
-MOST_CHARS = 6000
+MOST_BYTES = 32_000_000
 DICTIONARY = 112_640
 BLOCK = 4096
 LEVEL = 3
@@ -98,9 +101,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-3
     return np.r_[w[0] - out @ mean, out]
 
 
+def _spread(text: bytes, most: int = 3, size: int = 2048) -> list[bytes]:
+    """All blocks of a text, or of a longer one a hash-chosen block from each third, so that no text outweighs the others."""
+    parts = [text[i : i + size] for i in range(0, len(text), size)]
+    if len(parts) <= most:
+        return parts
+    ends = [k * len(parts) // most for k in range(most + 1)]
+    return [parts[a + zlib.crc32(text, k) % (b - a)] for k, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
+
+
 def _dictionary(samples: list[bytes]) -> bytes:
     """A trained dictionary; raw content where there is too little text to train on."""
-    parts = [s[i : i + 2048] for s in samples for i in range(0, len(s), 2048)]
+    parts = [part for s in samples for part in _spread(s)]
     try:
         return zstandard.train_dictionary(DICTIONARY, parts, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -115,7 +127,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
         some = known.where(F.col("_label") == value).orderBy(F.xxhash64(key), key).limit(MOST_ROWS)
         chosen = some if chosen is None else chosen.unionByName(some)
     # chosen has at most 2 * MOST_ROWS rows of two numbers: the bound of what is broadcast here.
-    rows = docs.select(key, F.substring(texts(text), 1, MOST_CHARS).alias("_text")).join(F.broadcast(chosen), key).groupBy(key).agg(F.max("_label").alias("_label"), F.max("_text").alias("_text")).orderBy(F.xxhash64(key), key).collect()
+    labelled = docs.select(key, texts(text).alias("_text")).join(F.broadcast(chosen), key)
+    sizes = labelled.groupBy(key).agg(F.max("_label").alias("_label"), F.max(F.octet_length("_text")).alias("_size")).orderBy(F.xxhash64(key), key).collect()
+    room, fits = {0: MOST_BYTES, 1: MOST_BYTES}, []
+    for r in sizes:
+        if r["_size"] <= room[r["_label"]]:
+            room[r["_label"]] -= r["_size"]
+            fits.append((r[key],))
+    if not fits:
+        return Model(b"", b"", (), 0.5)
+    taken = docs.sparkSession.createDataFrame(fits, known.select(key).schema)
+    rows = labelled.join(F.broadcast(taken), key).groupBy(key).agg(F.max("_label").alias("_label"), F.max("_text").alias("_text")).orderBy(F.xxhash64(key), key).collect()
     by = {v: [r["_text"].encode() for r in rows if r["_label"] == v and r["_text"]] for v in (0, 1)}
     n = len(by[0]) + len(by[1])
     share = len(by[1]) / n if n else 0.5

@@ -156,6 +156,19 @@ def test_one_row_stays_where_ids_are_null_or_repeated(spark):
 # --- quality classifier
 
 
+def test_fit_takes_whole_rows_within_its_bytes(spark, monkeypatch):
+    rows = [(i, prose(i, 1500)) for i in range(30)] + [(100 + i, prose(i, 1500).upper()) for i in range(30)] + [(200 + i, prose(i, 20000)) for i in range(3)]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "_dictionary", lambda samples: seen.extend(samples) or b"\n".join(samples))
+    quality.fit(docs(spark, rows), labels)
+    assert max(map(len, seen)) > 6000 and {s.decode() for s in seen} <= {t for _, t in rows}
+    seen.clear()
+    monkeypatch.setattr(quality, "MOST_BYTES", 70_000)
+    quality.fit(docs(spark, rows), labels)
+    assert seen and sum(map(len, seen)) <= 140_000 and {s.decode() for s in seen} <= {t for _, t in rows[:-3]}
+
+
 def test_classifier_learns_and_holds_out(spark):
     good = [(i, prose(i, 150)) for i in range(60)]
     bad = [(100 + i, " | ".join(w + "!!" for w in prose(500 + i, 100).upper().split())) for i in range(60)]
