@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import cut, flat_bytes, free, no_nulls, pieces_of, texts
+from strandline.llm.shared import cut, flat_bytes, free, mix, no_nulls, pieces_of, texts
 
 WORDS = 5
 #: Shingles in a unit, bytes of text hashed at a time.
@@ -60,13 +60,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of each word, words before each row and in all) of texts as bytes; A-Z count as a-z."""
     if not len(raw):
@@ -87,7 +80,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         powers = np.cumprod(np.full(int(sizes.max()) + 1, _POWER, np.uint64))
         value = _BYTE[_LOWER[raw[inside]]] * powers[place]
         sums = np.add.reduceat(value, np.cumsum(sizes) - sizes)
-        return _mix(sums + sizes.astype(np.uint64) * _BYTE[0]), before
+        return mix(sums + sizes.astype(np.uint64) * _BYTE[0]), before
 
 
 def shingle_hashes(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +96,7 @@ def shingle_hashes(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, n
     with np.errstate(over="ignore"):
         for k in range(WORDS):
             out = out * _BYTE[3] + np.where(k < width, padded[np.minimum(start + k, len(words))], np.uint64(0))
-        return _mix(out + width.astype(np.uint64) * _BYTE[5]), np.concatenate([[0], ends]).astype(np.int64)
+        return mix(out + width.astype(np.uint64) * _BYTE[5]), np.concatenate([[0], ends]).astype(np.int64)
 
 
 def _pack(grams: np.ndarray, owners: np.ndarray) -> bytes:

@@ -5,13 +5,17 @@ CRC-32C of the payload (4); this is the public TFRecord framing. A payload is on
 2: ids are 4 bytes wide), the row's id (8 bytes), and the token ids (2 bytes each where the vocabulary allows).
 ``<file>.idx`` holds each frame's offset as 8 bytes, so that a shuffled reader fetches record i with two reads.
 
-Rows are range-partitioned and sorted by id, each task writes its files under its own attempt's name, and only
+Rows are range-partitioned and sorted by id, then by a hash of the text; each task writes its files under its own attempt's name, and only
 files that a finished task reports are read; a lost executor's task is just run again. Whole texts are
-encoded by the tokenizers library. Where the tokenizer drops white space between words, each distinct word of a
-batch is encoded once and the ids are put together per row, which gives the same ids.
+encoded by the tokenizers library. Where the tokenizer drops white space between words, each distinct word is
+encoded once by the library and the ids are put together per row, which gives the same ids. Only a mark after an ASCII letter is
+parted from its word: other letters may change into letters with marks of their own, which join the mark.
+
+The driver gets a row for each file (of ``FILE_BYTES``, one a task at least), to number the ids across files.
 
 Defined cases: null and empty texts give just the end id; null ids come first; rows with equal ids are
-ordered by text and each gets a record; an empty table gives no file and no row.
+ordered by the xxhash64 of the text and each gets a record; rows equal in id and text may lie on both sides of a file's end; an empty
+table gives no file and no row. A text is held whole by one worker, with about 30 bytes for each of its tokens.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import file_system, no_nulls, pieces_of, shared_folder, texts
+from strandline.llm.shared import file_system, no_nulls, pieces_of, shared_folder, steady, texts
 
 END_ID = 2
 FILE_BYTES = 512_000_000
@@ -208,15 +212,16 @@ class Encoder:
         return places
 
     def _parts(self, words: list[str]) -> list[tuple[str, str]]:
-        """(stem, mark) of each word: a mark of ``MARKS`` that follows a letter at the word's end, or none.
+        """(stem, mark) of each word: a mark of ``MARKS`` that follows an ASCII letter at the word's end, or none.
 
-        Such a mark is a piece of its own, whatever is before it. Stems of ASCII letters are lower-cased, as the
-        tokenizer does with all.
+        Such a letter stays one, so the mark begins a piece of its own, whatever is before. That is not so of all letters:
+        U+0130 in lower case and U+0958 normalised end in marks, which the tokenizer joins with the next. Stems of ASCII
+        letters are lower-cased, as the tokenizer does with all.
         """
         out = []
         for w in words:
             mark = w[-1:]
-            if mark in MARKS and w[-2:-1].isalpha():
+            if mark in MARKS and w[-2:-1].isascii() and w[-2:-1].isalpha():
                 w = w[:-1]
             else:
                 mark = ""
@@ -307,9 +312,10 @@ def write_records(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*done), schema)], schema=schema)
 
-    # The last key parts rows that are alike in all others, so that no one id fills a partition.
-    rows = df.select(F.col(key).cast("long").alias("_key"), texts(text).alias("_text")).withColumn("_row", F.monotonically_increasing_id())
-    dealt = rows.repartitionByRange("_key", "_row").sortWithinPartitions("_key", "_text").select("_key", "_text")
+    # The hash parts rows of one id, the row's number those that are alike in all, so that neither fills a partition.
+    rows = steady(df.select(F.col(key).cast("long").alias("_key"), texts(text).alias("_text")))
+    rows = rows.withColumns({"_hash": F.xxhash64("_text"), "_row": F.monotonically_increasing_id()})
+    dealt = rows.repartitionByRange("_key", "_hash", "_row").sortWithinPartitions("_key", "_hash", "_row").select("_key", "_text")
     files = sorted(dealt.mapInArrow(run, MANIFEST).collect())  # a row for each file, not for each record
     bases = np.cumsum([0, *(f["n_tokens"] for f in files)]).tolist()
     return spark.createDataFrame([(*f, b) for f, b in zip(files, bases)], MANIFEST + ", base long")

@@ -1,10 +1,17 @@
-"""Helpers that the operators of this folder share: tables, the shared folder, file systems, batches."""
+"""Helpers that the operators of this folder share: tables, the shared folder, file systems, batches, hashes.
+
+Tables that an operator needs only while it runs lie in a ``Scratch``, whose ``close`` deletes them. What a result is read
+from (archives, records, chat segments, the stages' tables of the pipeline) stays in the shared folder, under the
+application's id: whoever runs the application deletes that folder when the results have been written.
+"""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,25 +26,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the folder that driver and executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; only where the setting is missing
-    (local tests) a temporary one is made, which on a single machine everything shares.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a local master, whose one machine everything
+    shares, may leave it out: a temporary one is made then. Elsewhere a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="strandline-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/strandline-{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/strandline-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read again: the lineage ends there, and a lost executor costs nothing."""
-    path = shared_folder(df.sparkSession, "cut")
+    path = path or shared_folder(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of a running operator, in a folder of their own."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.count = spark, shared_folder(spark, name), 0
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        return cut(df, f"{self.folder}/{self.count}")
+
+    def close(self) -> None:
+        """Deletes the tables; what was made from them must have been written by then."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def steady(df: DataFrame) -> DataFrame:
+    """``df`` if its tasks read files in their order and so give the same rows again; else it is written first.
+
+    Row numbers of tasks (``monotonically_increasing_id``) hold over a task that runs again only on such rows.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return cut(df) if any(x in plan for x in ("Exchange", "Join", "Limit", "InMemoryTableScan")) else df
+
+
 def file_system(uri: str):
     """(file system, path) of a URI, in any store that Arrow reaches: local, hdfs, s3, gs."""
     from pyarrow import fs
@@ -67,8 +103,6 @@ def free(df: DataFrame, *names: str) -> list[str]:
 
 def pieces_of(batch: pa.RecordBatch, column: str, most: int = 16_000_000):
     """Slices of a batch with at most about ``most`` bytes in ``column`` each (a longer single row stays whole)."""
-    import numpy as np
-
     values = batch.column(column)
     sizes = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
@@ -82,8 +116,6 @@ def pieces_of(batch: pa.RecordBatch, column: str, most: int = 16_000_000):
 
 def flat_bytes(values: pa.Array):
     """(bytes as uint8 array, offsets from 0) of a string or binary array without nulls, without a copy of the text."""
-    import numpy as np
-
     wide = pa.types.is_large_string(values.type) or pa.types.is_large_binary(values.type)
     kind = np.int64 if wide else np.int32
     offsets = np.frombuffer(values.buffers()[1], kind)[values.offset : values.offset + len(values) + 1].astype(np.int64)
@@ -96,3 +128,20 @@ def no_nulls(values: pa.Array) -> pa.Array:
     """A string array with nulls as empty texts, as one array."""
     values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
     return values.fill_null("") if values.null_count else values
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """The finisher of splitmix64: 64 well-spread bits from 64 bits."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def release() -> None:
+    """Gives a worker's free memory back to the system: workers stay for later tasks, and others run beside them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # no glibc
