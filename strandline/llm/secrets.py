@@ -9,8 +9,8 @@ others at or above the threshold are merged to spans, named by the widest class
 out of a candidate (a digest, or the run of letters and digits around a word), and the rest is measured. Spans inside
 a base span are suppressed; base spans always stay.
 
-Defined cases: null and empty texts have no spans; whole texts are read, whatever their length; equal
-texts get equal spans; other columns pass through untouched.
+Defined cases: null and empty texts have no spans; whole texts are read, in time in proportion to their length; equal
+texts get equal spans; other columns pass through untouched, but one of the name of ``into`` (a parameter) gives way.
 """
 
 from __future__ import annotations
@@ -163,7 +163,8 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     spans = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
-    base = sorted((s, e) for _, s, e in spans)
+    # Entropy spans come by ascending start: one lies in a base span if the furthest end of those begun by then is not before its own.
+    base, begun, furthest = sorted((s, e) for _, s, e in spans), 0, 0
     for m in CANDIDATE.finditer(text):
         if m.end() - m.start() < WINDOW:
             continue
@@ -171,7 +172,9 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         for a, b in not_public(candidate):
             for kind, start, end in random_spans(candidate[a:b]):
                 start, end = start + a + m.start(), end + a + m.start()
-                if not any(s <= start and end <= e for s, e in base):
+                while begun < len(base) and base[begun][0] <= start:
+                    furthest, begun = max(furthest, base[begun][1]), begun + 1
+                if furthest < end:
                     spans.append((kind, start, end))
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
