@@ -1,13 +1,15 @@
 """Chat formatting: a finite-state machine over roles, a declarative template, loss flags per segment.
 
 Rows of a conversation meet in one partition in the order of their turns and stream through the formatter,
-which holds one turn at a time; no conversation is gathered. Each turn gives three segments: the marker that
+which holds one turn at a time; no conversation is gathered. A conversation's digests are sequential, so its rows pass
+one task: README.md says how fast. Each turn gives three segments: the marker that
 opens it, its text, and the marker that closes it. Only text of the roles with ``loss`` is under the loss
 mask. Texts are escaped, so that no text can open or close a turn, and ``read_back`` gives the texts again.
 
 Defined cases: null text counts as empty; null role as the empty role, which no state accepts; a role out
 of order (or unknown) keeps its turn in the output but marks it, and the conversation, as invalid;
-rows with equal turns are ordered by role, then text, and both stay; a null conversation id is a conversation.
+rows with equal turns are ordered by role, then text, and both stay; a null conversation id is a conversation; a turn is
+held whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,9 +27,17 @@ from pyspark.sql import functions as F
 from strandline.llm.shared import texts
 
 
+ESCAPE = "\\"
+
+
 @dataclass(frozen=True)
 class Template:
-    """Markers, loss flags and allowed orders of turns. ``open`` has the role's name where ``{role}`` stands."""
+    """Markers, loss flags and allowed orders of turns. ``open`` has the role's name where ``{role}`` stands.
+
+    What a text may not hold bare follows from the markers: without the spaces at their ends, they and what could begin one at
+    the text's end are preceded by ``ESCAPE``, as is ``ESCAPE`` itself. Any markers will do that have something besides spaces and no
+    ``ESCAPE``; others are a ValueError.
+    """
 
     open: str = "### {role}: "
     close: str = " </turn>\n"
@@ -42,22 +53,44 @@ class Template:
     })
     final: tuple = ("user", "assistant")
 
-    #: What may not stand bare in a text: the escape itself, and what starts a marker.
-    control = re.compile(r"\\|###|</turn>")
+    def __post_init__(self):
+        if self.open.count("{role}") != 1 or not self.name_end.strip() or not self.close.strip() or ESCAPE in self.open + self.close:
+            raise ValueError("a template needs {role} once, a marker after it and one at the end, and no escape in them")
+        if len(set(self.names.values())) < len(self.names) or any(n.startswith("(") for n in self.names.values()):
+            raise ValueError("names of roles must differ and not begin with a parenthesis")
+
+    @property
+    def name_begin(self) -> str:
+        return self.open.partition("{role}")[0]
+
+    @property
+    def name_end(self) -> str:
+        return self.open.partition("{role}")[2]
+
+    @cached_property
+    def _bare(self) -> tuple[re.Pattern, re.Pattern]:
+        """Places that get an escape: in texts, and in names."""
+
+        def places(*markers: str) -> re.Pattern:
+            cores = [m.strip() for m in markers if m.strip()]
+            ends = {c[:k] for c in cores for k in range(1, len(c))}
+            return re.compile("(?=" + "|".join([re.escape(ESCAPE), *map(re.escape, cores), *(re.escape(e) + r"\Z" for e in sorted(ends))]) + ")")
+
+        return places(self.name_begin, self.close), places(self.name_begin, self.name_end, self.close)
 
     def escape(self, text: str) -> str:
-        return self.control.sub(lambda m: "\\" + m.group(), text)
+        return self._bare[0].sub(lambda m: ESCAPE, text)
 
     def unescape(self, text: str) -> str:
-        return re.sub(r"\\(\\|###|</turn>)", r"\1", text)
+        return re.sub(re.escape(ESCAPE) + r"([\s\S])", r"\1", text)
 
     def opener(self, role: str) -> str:
-        return self.open.format(role=self.escape(self.names.get(role, f"({role})")).replace(":", "\\c"))
+        return self.name_begin + self._bare[1].sub(lambda m: ESCAPE, self.names.get(role, f"({role})")) + self.name_end
 
-    def role(self, opener: str) -> str:
-        name = re.sub(r"\\(\\|###|</turn>|c)", lambda m: ":" if m[1] == "c" else m[1], opener[len("### ") : -len(": ")])
-        known = {v: k for k, v in self.names.items()}
-        return known[name] if name in known else name[1:-1]
+    def role(self, name: str) -> str:
+        """The role of a name as it stands in an opener."""
+        name = self.unescape(name)
+        return {v: k for k, v in self.names.items()}.get(name, name[1:-1])
 
 
 SEGMENTS = "conv_id bigint, turn bigint, ordinal bigint, part int, text string, loss boolean, valid boolean"
@@ -101,27 +134,41 @@ def format_chats(conversations: DataFrame, template: Template = Template()) -> D
     return dealt.mapInArrow(run, SEGMENTS)
 
 
-#: An escape with what it escapes, or the marker that ends a turn.
-_STOP = re.compile(r"\\[\s\S]| </turn>\n")
-
-
 class Reader:
     """Parses a conversation's formatted text, chunk by chunk, back to (role, text) turns; holds one turn at a time."""
 
     def __init__(self, template: Template):
-        self.template, self.left = template, ""
+        self.template, self.left, self.at, self.name = template, "", 0, None
+        #: an escape with what it escapes, or the marker that ends the name; the same for the text
+        self.stops = [re.compile(re.escape(ESCAPE) + r"[\s\S]|(" + re.escape(m.strip()) + ")") for m in (template.name_end, template.close)]
+
+    def _until(self, marker: str) -> str | None:
+        """What stands before the next bare ``marker``, which is taken off; None if it isn't there yet."""
+        pattern = self.stops[0 if self.name is None else 1]
+        for m in pattern.finditer(self.left, self.at):
+            if m[1] is None:
+                self.at = m.end()
+                continue
+            start = m.start() - (len(marker) - len(marker.lstrip()))
+            if start + len(marker) > len(self.left):
+                return None
+            found, self.left, self.at = self.left[:start], self.left[start + len(marker) :], 0
+            return found
+        return None
 
     def feed(self, chunk: str) -> Iterator[tuple[str, str]]:
         self.left += chunk
         while True:
-            head = self.left.find(": ")
-            if head < 0:
-                return
-            end = next((m for m in _STOP.finditer(self.left, head + 2) if m.group() == " </turn>\n"), None)
-            if end is None:
+            if self.name is None:
+                name = self._until(self.template.name_end)
+                if name is None:
+                    return
+                self.name = self.template.role(name[len(self.template.name_begin) :])
+            text = self._until(self.template.close)
+            if text is None:
                 return
-            yield self.template.role(self.left[: head + 2]), self.template.unescape(self.left[head + 2 : end.start()])
-            self.left = self.left[end.end() :]
+            name, self.name = self.name, None
+            yield name, self.template.unescape(text)
 
 
 def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame:
@@ -137,10 +184,9 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
         out, conv, begun = [], None, False
 
         def ended():
-            if reader.left:
+            if reader.left or reader.name is not None:
                 raise ValueError(f"conversation {conv} does not end with a whole turn")
-            last = next((r for r in (role,) if r is not None), None)
-            out.append((conv, turns, every.hexdigest(), loss_n, lost.hexdigest(), chars, valid and last in template.final))
+            out.append((conv, turns, every.hexdigest(), loss_n, lost.hexdigest(), chars, valid and role in template.final))
 
         for c, text, loss, ok in _keys(batches, "conv_id", "text", "loss", "valid"):
             if not begun or c != conv:
