@@ -8,7 +8,9 @@ each node; backward sampling walks from the end, drawing each last piece in prop
 
 No piece reaches over the start of a run of spaces or over a newline, so the lattice falls into units there.
 The filter runs once for each distinct unit of a batch, over all units at once; the sampler draws for all
-occurrences at once, a step at a time. Memory follows the batch (about ``BATCH_BYTES`` of text).
+occurrences at once, a step at a time. Rows go in slices of ``SLICE_BYTES`` of text, and a longer text in parts that begin at a unit,
+so a worker holds an Arrow batch, the ids of one slice or text, and about 70 bytes for each byte of a slice. Only a run of that
+length without a space or newline is held whole.
 
 The vocabulary of a BPE model has ranks in place of log-probabilities; a piece of rank r weighs
 (r + ``SHIFT``) ** -``SHARPNESS``, after Zipf's law.
@@ -28,26 +30,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import flat_bytes, no_nulls
+from strandline.llm.shared import flat_bytes, mix, no_nulls, release
 
 SEED = 29
 SHIFT = 10.0
 SHARPNESS = 1.0
-BATCH_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: Weight of each byte of a character outside the vocabulary.
 BYTE_WEIGHT = 1e-6
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """The finisher of splitmix64: 64 well-spread bits from 64 bits."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Trie:
     """The pieces' bytes as a trie whose moves (node, byte) -> node lie in an open-addressed hash table."""
 
@@ -136,6 +130,7 @@ class Sampler:
     def of(cls, model: str, sharpness: float = SHARPNESS) -> Sampler:
         if (model, sharpness) not in cls.opened:
             cls.opened[model, sharpness] = cls(model, sharpness)
+            release()  # the model's file and the tables' first forms
         return cls.opened[model, sharpness]
 
     def _edges(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,21 +218,30 @@ class Sampler:
     def sample(self, values: pa.Array, keys: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
         """(all piece ids, offsets by row) of texts without nulls; keys: uint64 by row."""
         raw, offsets = flat_bytes(values)
+        if len(offsets) != 2 or len(raw) <= SLICE_BYTES:
+            return self._sample(raw, offsets, keys, seed)
+        found = [self._sample(raw[a:b], np.array([0, b - a]), keys, seed, a)[0] for a, b in unit_parts(raw, SLICE_BYTES)]
+        ids = np.concatenate(found)
+        return ids, np.array([0, len(ids)])
+
+    def _sample(self, raw: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int, begun: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """``sample`` of texts as bytes; ``begun``: the place in its text where the (one) row begins."""
         rows = len(offsets) - 1
         filled = np.flatnonzero(np.diff(offsets) > 0)
         if not len(filled):
             return np.zeros(0, np.int32), np.zeros(rows + 1, np.int64)
-        raw = np.insert(raw, offsets[filled], 32)  # the space before the first word
-        grown = np.zeros(rows + 1, np.int64)
-        grown[filled + 1] = 1
-        offsets = offsets + np.cumsum(grown)
+        if not begun:
+            raw = np.insert(raw, offsets[filled], 32)  # the space before the first word
+            grown = np.zeros(rows + 1, np.int64)
+            grown[filled + 1] = 1
+            offsets = offsets + np.cumsum(grown)
         space, line = raw == 32, raw == 10
         cut = line.copy()
         cut[1:] |= line[:-1] | (space[1:] & ~space[:-1])
         cut[offsets[filled]] = True
         starts = np.flatnonzero(cut)
         row = np.searchsorted(offsets, starts, side="right") - 1
-        place = (starts - offsets[row]).astype(np.uint64)
+        place = (starts - offsets[row] + (begun + 1 if begun else 0)).astype(np.uint64)
         bounds = np.r_[starts, len(raw)]
         units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))])
         coded = units.dictionary_encode()
@@ -274,11 +278,16 @@ class Sampler:
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, offsets by row) of piece ids: the pieces spelled out, without the space before the first word."""
-        sizes = self.sizes[ids]
-        ends = np.cumsum(sizes)
         if not len(ids):
             return np.zeros(0, np.uint8), np.zeros(len(offsets), np.int64)
-        raw = self.spelled[np.repeat(self.firsts[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        ends = np.cumsum(self.sizes[ids])
+        parts = []
+        for at in range(0, len(ids), 200_000):
+            some = ids[at : at + 200_000]
+            sizes = self.sizes[some]
+            to = np.cumsum(sizes)
+            parts.append(self.spelled[np.repeat(self.firsts[some] - (to - sizes), sizes) + np.arange(int(to[-1]))])
+        raw = np.concatenate(parts)
         bounds = np.r_[0, ends][offsets]
         filled = np.diff(bounds) > 0
         raw = np.delete(raw, bounds[:-1][filled])
@@ -299,6 +308,23 @@ def _slices(values: pa.Array, most: int):
         at = to
 
 
+def unit_parts(raw: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """[start, end) of a long text's parts of about ``most`` bytes, each of which begins where a unit does."""
+    at = 0
+    while at < len(raw):
+        to = at + most
+        while to < len(raw):
+            some = raw[to - 1 : to + 65536]
+            line, space = some == 10, some == 32
+            cuts = np.flatnonzero(line[1:] | line[:-1] | (space[1:] & ~space[:-1]))
+            if len(cuts):
+                to += int(cuts[0])
+                break
+            to += 65536
+        yield at, min(to, len(raw))
+        at = to
+
+
 def sample_pieces(text: Column, key: Column, model: str, seed: int = SEED, sharpness: float = SHARPNESS) -> Column:
     """The sampled pieces' ids of a text, ``array<int>``, drawn by the row's integer key."""
 
@@ -307,10 +333,11 @@ def sample_pieces(text: Column, key: Column, model: str, seed: int = SEED, sharp
         for values, keys in batches:
             values, keys = no_nulls(values), row_keys(keys)
             parts = []
-            for a, b in _slices(values, BATCH_BYTES):
+            for a, b in _slices(values, SLICE_BYTES):
                 ids, offsets = sampler.sample(values.slice(a, b - a), keys[a:b], seed)
                 parts.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        release()
 
     encode.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     return F.arrow_udf(encode, "array<int>")(F.coalesce(text.cast("string"), F.lit("")), key.cast("long"))
@@ -340,10 +367,12 @@ def encode_documents(df: DataFrame, model: str, key: str = "doc_id", text: str =
         sampler = Sampler.of(model)
         for batch in batches:
             values = no_nulls(batch.column(text).cast(pa.string()))
-            for a, b in _slices(values, BATCH_BYTES):
+            for a, b in _slices(values, SLICE_BYTES):
                 ids, offsets = sampler.sample(values.slice(a, b - a), row_keys(batch.column(key).slice(a, b - a)), seed)
                 own = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], names=[*own.schema.names, "pieces"])
+            del batch, values, own, ids, offsets
+            release()
 
     return df.mapInArrow(run, schema)
 
@@ -356,7 +385,7 @@ def encode_and_check(df: DataFrame, model: str, key: str = "doc_id", text: str =
         sampler = Sampler.of(model)
         for batch in batches:
             values = no_nulls(batch.column("_text"))
-            for a, b in _slices(values, BATCH_BYTES):
+            for a, b in _slices(values, SLICE_BYTES):
                 some, own = values.slice(a, b - a), batch.column("_key").slice(a, b - a)
                 ids, offsets = sampler.sample(some, row_keys(own), seed)
                 raw, bounds = sampler.decode(ids, offsets)
@@ -366,6 +395,8 @@ def encode_and_check(df: DataFrame, model: str, key: str = "doc_id", text: str =
                 data = ids.astype("<i4").tobytes()
                 crcs = [zlib.crc32(data[4 * x : 4 * y]) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([own, pa.array(np.diff(offsets)), pa.array(crcs, pa.int64()), pa.array(lossless), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], schema=schema)
+            del batch, values, some, own, ids, offsets, raw, bounds, source
+            release()
 
     rows = df.select(F.col(key).cast("long").alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     return rows.mapInArrow(run, f"{key} long, n_pieces long, pieces_crc32 long, lossless boolean, pieces array<int>")
