@@ -164,8 +164,7 @@ def test_fit_takes_whole_rows_within_its_bytes(spark, monkeypatch):
     quality.fit(docs(spark, rows), labels)
     assert max(map(len, seen)) > 6000 and {s.decode() for s in seen} <= {t for _, t in rows}
     seen.clear()
-    monkeypatch.setattr(quality, "MOST_BYTES", 70_000)
-    quality.fit(docs(spark, rows), labels)
+    quality.fit(docs(spark, rows), labels, most_bytes=70_000)
     assert seen and sum(map(len, seen)) <= 140_000 and {s.decode() for s in seen} <= {t for _, t in rows[:-3]}
 
 
@@ -202,7 +201,7 @@ def test_poisson_rates_and_repeats(spark):
 def test_many_sources_take_the_salted_join(spark, monkeypatch):
     df = docs(spark, [(i, "t") for i in range(300)])
     want = sorted((r.doc_id, r.copy) for r in mixing.mix_sources(df).collect())
-    monkeypatch.setattr(mixing, "MOST_SOURCES", 1)
+    monkeypatch.setattr(mixing, "MOST_TERMS", 1)
     assert sorted((r.doc_id, r.copy) for r in mixing.mix_sources(df).collect()) == want
 
 
@@ -390,9 +389,16 @@ def test_rules_longest_wins(spark):
 
 
 def test_equal_digests_do_not_decide(spark, monkeypatch):
-    monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda b: 7)  # every digest collides
-    index = urls.Index(urls.write_index(spark, [("block", "a.b/"), ("allow", "a.b/c/")]))
-    assert index.judge(["x.a.b", "a.b", "q"], ["/c/d", "/z", "/"]) == ["allow a.b/c/", "block a.b/", None]
+    def same(strings):
+        return np.full(len(strings), 7, np.uint64)  # every digest collides
+
+    plain = urls.write_index
+    monkeypatch.setattr(urls, "digests", same)
+    files = plain(spark, [("block", "a.b/"), ("allow", "a.b/c/")])
+    index = urls.Index(files)
+    for part in index.parts:  # the task's process has its own digests
+        part.keys = np.full(len(part.keys), 7, np.uint64)
+    assert index.judge(pa.array(["x.a.b", "a.b", "q"]), pa.array(["/c/d", "/z", "/"])) == ["allow a.b/c/", "block a.b/", None]
 
 
 # --- pipeline
