@@ -7,7 +7,10 @@ of the shingles' hashes. All results are exact for those hashes (48 bits for ove
 1. Each unit's blocks go to the tasks of their column range, which count each column's documents. Columns of
    one document never add to an overlap; the others return to their unit with their count. A unit counts the columns that
    several of its own documents hold and sends one number for each; their documents stay with the unit's facts. So
-   a column that a third of all rows hold sends an entry a unit, not an entry a row.
+   a column that a third of all rows hold sends an entry a unit, not an entry a row. Ranges are made for every ``RANGE_BYTES`` of
+   text, so a range's size does not depend on the input's or on settings. Up to ``FAN`` ranges a unit sends a block to
+   each. Beyond that it sends blocks to the square root of their number, where those of as many units are merged and
+   sent on, so that blocks stay large and the rows exchanged grow with the input, not with its square.
 2. Each document's columns are ordered rarest first. A partner holds at least 75 % of its shingles,
    so one of the first n - ceil(0.75 n) + 1 is common to both. These columns alone enter the product, and documents
    whose rare columns fill them (most of a corpus) have no candidates. Common passages come last in the order.
@@ -19,12 +22,14 @@ of the shingles' hashes. All results are exact for those hashes (48 bits for ove
    the bound that their sizes give, and returns only links that join components. So a group of m near copies costs
    about m rows, and no link between components is lost.
 
-Components are joined by least labels and pointer jumping, in tables; nothing but counts reaches the driver.
-The input should be a table (or written to one): a task that runs again must meet its rows again.
+Components are joined by least labels and pointer jumping, in tables; nothing but counts reaches the driver. The tables
+are deleted when the result has been written. Rows are numbered by task, so an input that is not read from files in their order
+is written first.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and are their own component;
 fewer than five words are one shingle; repeated rows each get a row; a null id stays null and gives way to any other
-as component id; other columns are not read.
+as component id; other columns are not read. A text is hashed in parts of ``HASH_BYTES`` at spaces (one word of more is held whole); its
+shingles, some 60 bytes for each word, lie in one worker.
 """
 
 from __future__ import annotations
@@ -39,12 +44,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import cut, flat_bytes, free, mix, no_nulls, pieces_of, texts
+from strandline.llm.shared import Scratch, cut, flat_bytes, free, mix, no_nulls, pieces_of, release, steady, texts
 
 WORDS = 5
-#: Shingles in a unit, bytes of text hashed at a time.
+#: Shingles in a unit (a document counts as ``UNIT_ROW`` more), bytes of text hashed at a time.
 UNIT_SHINGLES = 1_500_000
-HASH_BYTES = 3_000_000
+UNIT_ROW = 8
+HASH_BYTES = 2_000_000
+#: Bytes of text for a column range; ranges that a unit sends blocks to at most.
+RANGE_BYTES = 10_000_000
+FAN = 1024
 #: Rounds of one against the rest in each list, before the rest is multiplied in tiles.
 ROUNDS = 2
 #: Rows and shingles in a block of a tile, about.
@@ -83,6 +92,26 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         return mix(sums + sizes.astype(np.uint64) * _BYTE[0]), before
 
 
+def text_word_hashes(raw: np.ndarray, offsets: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes``; one text of over ``most`` bytes goes by parts that end at a space."""
+    if len(offsets) != 2 or len(raw) <= most:
+        return word_hashes(raw, offsets)
+    found, at = [], 0
+    while at < len(raw):
+        to = at + most
+        while to < len(raw):
+            spaces = np.flatnonzero(_SPACE[raw[to : to + 65536]])
+            if len(spaces):
+                to += int(spaces[0])
+                break
+            to += 65536
+        to = min(to, len(raw))
+        found.append(word_hashes(raw[at:to], np.array([0, to - at]))[0])
+        at = to
+    hashes = np.concatenate(found)
+    return hashes, np.array([0, len(hashes)])
+
+
 def shingle_hashes(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all 5-word windows by row, windows before each row); a row with 1 to 4 words has one."""
     counts = np.diff(before)
@@ -145,9 +174,14 @@ def _runs(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.r_[first, len(ascending)])
 
 
+def _bound(block: int, blocks: int) -> int:
+    """The least column of a range, of ``blocks`` equal ones."""
+    return ((block << 48) + blocks - 1) // blocks
+
+
 def _to_blocks(blocks: int):
     """Rows (id, text) to the blocks of the incidence matrix, and a row for each unit: its facts, and who holds its columns of several."""
-    bounds = [((b << 48) + blocks - 1) // blocks for b in range(blocks)]
+    bounds = [_bound(b, blocks) for b in range(blocks)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -174,7 +208,7 @@ def _to_blocks(blocks: int):
         for batch in batches:
             for some in pieces_of(batch, "_text", HASH_BYTES):
                 raw, offsets = flat_bytes(no_nulls(some.column("_text")))
-                hashes, at = shingle_hashes(*word_hashes(raw, offsets))
+                hashes, at = shingle_hashes(*text_word_hashes(raw, offsets, HASH_BYTES))
                 for key, a, b in zip(some.column("_key").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                     own = np.unique(hashes[a:b])
                     same = xxhash.xxh3_128_digest(own.tobytes())
@@ -183,12 +217,15 @@ def _to_blocks(blocks: int):
                     owners.append(np.full(len(short), len(facts), np.uint32))
                     # The set's size is that of the full hashes; the least hashes differ from it only if two agree in 48 bits.
                     facts.append((key, len(own), same))
-                    held += len(own)
+                    held += len(own) + UNIT_ROW
                     if held >= UNIT_SHINGLES:
                         yield flush()
                         grams, owners, facts, held, seq = [], [], [], 0, seq + 1
+                        release()
         if facts:
             yield flush()
+        grams, owners, facts = [], [], []
+        release()
 
     return run
 
@@ -222,6 +259,43 @@ def _count_columns(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(rows, UNITS)] if rows else [], UNITS)
 
 
+def _merge(ranges: int, coarse: int):
+    """Blocks of several units in one coarse range: a row for each range in it, of the columns with their documents in all."""
+
+    def run(table: pa.Table) -> pa.Table:
+        origin, block = table.column("origin")[0].as_py(), table.column("block")[0].as_py()
+        parts = [(*_unpack(data.as_py()), kind) for kind, data in zip(table.column("kind").to_pylist(), table.column("data"))]
+        g = np.concatenate([x[0] for x in parts])
+        weight = np.concatenate([v if kind == SEVERAL else np.ones(len(v), np.uint32) for _, v, kind in parts]).astype(np.int64)
+        order = np.argsort(g, kind="stable")
+        first, _ = _runs(g[order])
+        columns, sums = g[order][first], np.add.reduceat(weight[order], first)
+        low, high = block * ranges // coarse, (block + 1) * ranges // coarse
+        cuts = np.r_[np.searchsorted(columns, np.array([_bound(r, ranges) for r in range(low, high)], np.uint64)), len(columns)]
+        rows = [(low + i, origin, SEVERAL, _pack(columns[x:y], np.minimum(sums[x:y], 2**32 - 1).astype(np.uint32)), b"") for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+        return pa.Table.from_batches([_batch(rows, BLOCKS)], BLOCKS)
+
+    return run
+
+
+def _spread(units: pa.Table, counted: pa.Table) -> pa.Table:
+    """The merged units' columns that the ranges have kept, with their classes, by unit again."""
+    kept = [(_unpack(data.as_py())[0], np.frombuffer(held.as_py(), np.uint8)) for data, held in zip(counted.column("data"), counted.column("held"))]
+    if not kept:
+        return pa.Table.from_batches([], UNITS)
+    columns, classes = (np.concatenate(x) for x in zip(*kept))
+    order = np.argsort(columns)
+    columns, classes = columns[order], classes[order]
+    rows = []
+    for unit, kind, data in zip(units.column("unit").to_pylist(), units.column("kind").to_pylist(), units.column("data")):
+        g, v = _unpack(data.as_py())
+        at = np.minimum(np.searchsorted(columns, g), len(columns) - 1)
+        more = columns[at] == g
+        if more.any():
+            rows.append((unit, kind, _pack(g[more], v[more] if kind == SINGLE else np.zeros(int(more.sum()), np.uint32)), classes[at[more]].tobytes()))
+    return pa.Table.from_batches([_batch(rows, UNITS)] if rows else [], UNITS)
+
+
 def prefix_size(n: np.ndarray) -> np.ndarray:
     """Shingles of which a partner must hold one: n - ceil(0.75 n) + 1."""
     return n - (3 * n + 3) // 4 + 1
@@ -258,39 +332,59 @@ def _to_rows(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(rows, ROWS)], ROWS)
 
 
-def document_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def document_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(key, doc_id, n, same, prefix, grams): a row for each document, written to the shared folder.
 
     ``key`` numbers the rows; ``same`` is equal for equal sets; ``prefix`` and ``grams`` are null for documents
     that can link only to documents with an equal set.
     """
-    blocks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(key).cast("long").alias("_key"), texts(text).alias("_text"))
-    matrix = rows.mapInArrow(_to_blocks(blocks), _DDL["blocks"])
-    counted = matrix.groupBy("block").applyInArrow(_count_columns, _DDL["units"])
-    return cut(counted.groupBy("unit").applyInArrow(_to_rows, _DDL["rows"]))
+    scratch = scratch or Scratch(docs.sparkSession, "jaccard")
+    rows = steady(docs.select(F.col(key).cast("long").alias("_key"), texts(text).alias("_text")))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("_text").cast("long") + UNIT_ROW), F.lit(0)).alias("n")).first()["n"]
+    ranges = max(1, -(-size // RANGE_BYTES))
+    if ranges <= FAN:
+        counted = rows.mapInArrow(_to_blocks(ranges), _DDL["blocks"]).groupBy("block").applyInArrow(_count_columns, _DDL["units"])
+    else:
+        counted = _counted_by_two(rows, ranges, scratch)
+    return scratch.cut(counted.groupBy("unit").applyInArrow(_to_rows, _DDL["rows"]))
+
+
+def _counted_by_two(rows: DataFrame, ranges: int, scratch: Scratch) -> DataFrame:
+    """The units' facts and counted columns, by two exchanges each way: units to coarse ranges, merged, to ranges, and back."""
+    coarse = int(np.ceil(np.sqrt(ranges)))
+    # a unit has about RANGE_BYTES of text or more, so a band has at most about ``coarse`` units
+    bands = max(1, ranges // coarse)
+    matrix = scratch.cut(rows.mapInArrow(_to_blocks(coarse), _DDL["blocks"]).withColumn("origin", F.col("block") + F.lit(coarse).cast("long") * F.pmod(F.xxhash64("unit"), F.lit(bands))))
+    columns = matrix.where(F.col("kind") != FACTS)
+    counted = columns.groupBy("origin").applyInArrow(_merge(ranges, coarse), _DDL["blocks"]).groupBy("block").applyInArrow(_count_columns, _DDL["units"])
+    spread = columns.groupBy("origin").cogroup(counted.withColumnRenamed("unit", "origin").groupBy("origin")).applyInArrow(_spread, _DDL["units"])
+    return spread.unionByName(matrix.where(F.col("kind") == FACTS).select("unit", "kind", "data", "held"))
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(v, comp): the least vertex that each vertex of the edges (a, b) reaches."""
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("comp")))
+    edges = scratch.cut(edges.select("a", "b"))
+    most = 2 * edges.count()
+    both = scratch.cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), most)
+    labels = scratch.cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("comp")), most)
     while True:
         near = both.join(labels, both.b == labels.v).groupBy("a").agg(F.min("comp").alias("m"))
         lower = labels.join(near, labels.v == near.a).select("v", F.least("comp", "m").alias("low"), F.col("comp").alias("old"))
-        jump = lower.select(F.col("v").alias("to"), F.col("low").alias("further"))
-        after = cut(lower.join(jump, F.col("low") == F.col("to"), "left").select("v", F.least("low", F.coalesce("further", "low")).alias("comp"), "old"))
+        # a vertex's new label is its lower label's own lowest so far, looked up twice
+        one, two = (labels.select(F.col("v").alias(f"v{i}"), F.col("comp").alias(f"c{i}")) for i in (1, 2))
+        jumped = lower.join(one, F.col("low") == F.col("v1"), "left").join(two, F.col("c1") == F.col("v2"), "left")
+        after = scratch.cut(jumped.select("v", F.least("low", "c1", "c2").alias("comp"), "old"), most)
         labels = after.select("v", "comp")
         if after.where("comp <> old").isEmpty():
             return labels
 
 
-def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(comps: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """Components (key, n, comp) after joining those of each link's ends."""
     ends = comps.select(F.col("key").alias("k"), F.col("comp").alias("c"))
-    contracted = links.join(ends, F.col("a") == F.col("k")).select(F.col("c").alias("x"), "b").join(ends, F.col("b") == F.col("k")).select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
-    found = connected(contracted).withColumnRenamed("comp", "into")
-    return cut(comps.join(found, comps.comp == found.v, "left").select("key", "n", F.coalesce("into", "comp").alias("comp")))
+    contracted = links.join(ends, F.col("a") == F.col("k")).select(F.col("c").alias("x"), "b").join(ends, F.col("b") == F.col("k")).select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).where("a <> b").distinct()
+    found = connected(contracted, scratch).withColumnRenamed("comp", "into")
+    return scratch.cut(comps.join(found, comps.comp == found.v, "left").select("key", "n", F.coalesce("into", "comp").alias("comp")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -310,7 +404,7 @@ def _may_link(a: str, b: str):
     return 7 * left >= 3 * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
-def _postings(sets: DataFrame) -> DataFrame:
+def _postings(sets: DataFrame, scratch: Scratch) -> DataFrame:
     """(gram, row: key, n, pos, most) of the prefixes' columns that some other row can meet.
 
     ``pos`` is the column's place in its row, columns of one document first; ``most`` is the largest partner that the
@@ -318,16 +412,16 @@ def _postings(sets: DataFrame) -> DataFrame:
     """
     placed = sets.select("key", "n", (F.col("n") - F.size("grams")).alias("u"), F.posexplode("prefix").alias("i", "gram")).withColumn("pos", F.col("u") + F.col("i"))
     ranged = placed.withColumn("most", F.floor((4 * F.col("n") - 7 * F.col("pos")) / 3)).select("gram", F.struct("key", "n", "pos", "most").alias("row"))
-    ranged = cut(ranged)
+    ranged = scratch.cut(ranged)
     ends = ranged.groupBy("gram").agg(F.count("*").alias("m"), F.min("row.n").alias("least_n"), F.max("row.most").alias("most_n")).where("m > 1")
     met = ranged.join(ends, "gram").where("row.most >= least_n AND row.n <= most_n").select("gram", "row")
-    return cut(met)
+    return scratch.cut(met)
 
 
-def link_components(sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def link_components(sets: DataFrame, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
     """(key, n, comp) for ``sets`` (key, n, prefix, grams), one row for each different set: the components of all links."""
-    postings = _postings(sets)
-    comps = cut(postings.select("row.key", "row.n").distinct().select("key", "n", F.col("key").alias("comp")))
+    postings = _postings(sets, scratch)
+    comps = scratch.cut(postings.select("row.key", "row.n").distinct().select("key", "n", F.col("key").alias("comp")))
     done = None
     for turn in range(rounds + 1):
         live = postings.withColumn("key", F.col("row.key")).join(comps.select("key", "comp"), "key").select("gram", "row", "comp")
@@ -335,19 +429,19 @@ def link_components(sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         early = F.col("row.most") >= F.col("row.n")
         by_comp = live.groupBy("gram", "comp").agg(F.count("*").alias("m"), F.count_if(early).alias("e"), F.min(F.struct((~early).alias("late"), F.xxhash64(F.lit(turn), "row.key").alias("h"), "row", "comp")).alias("hub"))
         lists = by_comp.groupBy("gram").agg(F.sum("m").alias("members"), (F.sum("m") * F.sum("e") - F.sum(F.col("m") * F.col("e"))).alias("cross"), F.min("hub").alias("hub")).where("cross > 0")
-        lists = cut(lists)
+        lists = scratch.cut(lists)
         left = lists.agg(F.count("*").alias("lists"), F.coalesce(F.sum("cross"), F.lit(0)).alias("cross"), F.coalesce(F.sum("members"), F.lit(0)).alias("members")).first()
         if not left["lists"]:
             break
         last = turn == rounds
         if last:
-            return _merged(comps, cut(_tile_links(live.join(lists.select("gram"), "gram", "left_semi"), sets)))
+            return _merged(comps, _tile_links(live.join(lists.select("gram"), "gram", "left_semi"), sets, scratch), scratch)
         star = live.join(lists.select("gram", "hub"), "gram").where((F.col("comp") != F.col("hub.comp")) & _may_link("row", "hub.row"))
         pairs = star.select(F.least("row.key", "hub.row.key").alias("a"), F.greatest("row.key", "hub.row.key").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        comps = _merged(comps, cut(_verified(pairs, sets)))
+        pairs = scratch.cut(pairs)
+        comps = _merged(comps, scratch.cut(_verified(pairs, sets)), scratch)
         done = pairs if done is None else done.unionByName(pairs)
     return comps
 
@@ -393,7 +487,7 @@ def _product(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(out, LINKS)] if out else [], LINKS)
 
 
-def _tile_links(live: DataFrame, sets: DataFrame) -> DataFrame:
+def _tile_links(live: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): links that join the components of the rows of the lists ``live`` (gram, row, comp), by blocks of rows.
 
     Blocks lie within a cluster of lists; a large component has blocks of its own, small ones share some.
@@ -401,14 +495,14 @@ def _tile_links(live: DataFrame, sets: DataFrame) -> DataFrame:
     each of its rows. So rows left over beside a large component meet it once, and nothing is expanded to pairs.
     """
     hubs = live.groupBy("gram").agg(F.min("row.key").alias("b"))
-    clusters = connected(live.select("gram", F.col("row.key").alias("a")).join(hubs, "gram").where("a <> b").select("a", "b").distinct())
+    clusters = connected(live.select("gram", F.col("row.key").alias("a")).join(hubs, "gram").where("a <> b").select("a", "b").distinct(), scratch)
     weighed = sets.select("key", "n", "grams", F.size("grams").alias("w"))
     rows = live.select(F.col("row.key").alias("key"), "comp").distinct().join(clusters.select(F.col("v").alias("key"), F.col("comp").alias("cluster")), "key").join(weighed.select("key", "w"), "key")
     by_comp = rows.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("w").alias("w")).withColumn("own", (F.col("m") >= BLOCK_ROWS / 2) | (F.col("w") >= BLOCK_SHINGLES / 2))
     owned = by_comp.groupBy("cluster", "own", F.when(F.col("own"), F.col("comp")).alias("owner")).agg(F.ceil(F.greatest(F.sum("m") / BLOCK_ROWS, F.sum("w") / BLOCK_SHINGLES)).cast("long").alias("k"))
     dealt = by_comp.select("cluster", "comp", "own", F.when(F.col("own"), F.col("comp")).alias("owner")).join(owned.select(F.col("cluster").alias("c2"), F.col("owner").alias("o2"), "k"), (F.col("cluster") == F.col("c2")) & F.col("owner").eqNullSafe(F.col("o2")))
     placed = rows.select("key", "comp", "cluster").join(dealt.select("cluster", "comp", "own", "owner", "k"), ["cluster", "comp"])
-    placed = cut(placed.withColumn("block", F.xxhash64("cluster", F.coalesce("owner", F.lit(-1)), F.pmod(F.xxhash64(F.when(F.col("own"), F.col("key")).otherwise(F.col("comp"))), F.col("k")))).select("key", "comp", "own", "block", "owner"))
+    placed = scratch.cut(placed.withColumn("block", F.xxhash64("cluster", F.coalesce("owner", F.lit(-1)), F.pmod(F.xxhash64(F.when(F.col("own"), F.col("key")).otherwise(F.col("comp"))), F.col("k")))).select("key", "comp", "own", "block", "owner"))
     met = live.select("gram", F.col("row.key").alias("key")).join(placed.select("key", "block", "owner"), "key").select("gram", "block", "owner").distinct()
     one, two = met.select("gram", F.col("block").alias("x"), F.col("owner").alias("ox")), met.select("gram", F.col("block").alias("y"), F.col("owner").alias("oy"))
     tiles = one.join(two, "gram").where("x <= y AND NOT coalesce(ox = oy, false)").select("x", "y").distinct().withColumn("tile", F.xxhash64("x", "y"))
@@ -423,19 +517,22 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     ``component_id`` is the least id of the component; ``n_copies`` counts the rows with an equal set; ``is_first`` marks one row
     of each component.
     """
-    rows = document_rows(docs, key, text)
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    rows = document_rows(docs, key, text, scratch)
     # One row for each different set: the one with the least id (null last), then the least row number.
     filled = rows.where("n > 0")
     order = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("id"), F.col("key").alias("k"))
-    classes = cut(filled.groupBy("same").agg(F.min(order).alias("least"), F.count("*").alias("n_copies")).select("same", F.col("least.id").alias("id"), F.col("least.k").alias("rep"), "n_copies"))
-    sets = cut(filled.where("prefix is not null").join(classes, F.col("key") == F.col("rep"), "left_semi").select("key", "n", "prefix", "grams"))
-    comps = link_components(sets)
+    classes = scratch.cut(filled.groupBy("same").agg(F.min(order).alias("least"), F.count("*").alias("n_copies")).select("same", F.col("least.id").alias("id"), F.col("least.k").alias("rep"), "n_copies"))
+    sets = scratch.cut(filled.where("prefix is not null").join(classes, F.col("key") == F.col("rep"), "left_semi").select("key", "n", "prefix", "grams"))
+    comps = link_components(sets, scratch)
     placed = classes.join(comps.select("key", "comp"), F.col("rep") == F.col("key"), "left").select("same", "id", "rep", "n_copies", F.coalesce("comp", "rep").alias("comp"))
     least = placed.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", F.col("rep").alias("k"))).alias("first"))
-    named = cut(placed.join(least, "comp").select("same", "n_copies", F.col("first.id").alias("component_id"), F.col("first.k").alias("first_key")))
+    named = scratch.cut(placed.join(least, "comp").select("same", "n_copies", F.col("first.id").alias("component_id"), F.col("first.k").alias("first_key")))
     some = filled.select("key", "doc_id", "n", "same").join(named, "same").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_copies", (F.col("key") == F.col("first_key")).alias("is_first"))
     none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("is_first"))
-    return some.unionByName(none)
+    result = cut(some.unionByName(none))
+    scratch.close()
+    return result
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -444,7 +541,7 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     Rows are told apart by numbers written with them, so ids may be null, repeated or of any type that has an order.
     """
     number, least, one, x = free(docs, "_number", "_least", "_one", "_null")
-    numbered = cut(docs.withColumn(number, F.monotonically_increasing_id()))
+    numbered = cut(steady(docs).withColumn(number, F.monotonically_increasing_id()))
     found = jaccard_components(numbered, number, text).select(F.col("doc_id").alias(one), F.col("component_id").alias(least))
     ids = numbered.select(F.col(key).isNull().alias(x), key, number)
     first = found.join(ids, F.col(one) == F.col(number)).groupBy(least).agg(F.min(F.struct(x, key, number)).alias(one))

@@ -18,6 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Files of a small table at least, and rows of a file, where the number of rows is known.
+FEW_FILES = 8
+FILE_ROWS = 200_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` of the folder ``sf_dir``, read by Spark (so any store that Spark reaches will do)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,9 +59,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.count = spark, shared_folder(spark, name), 0
 
-    def cut(self, df: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, most: int | None = None) -> DataFrame:
+        """``df`` written and read again; a table of at most ``most`` rows in no more files than these need."""
         self.count += 1
-        return cut(df, f"{self.folder}/{self.count}")
+        return cut(df if most is None else df.coalesce(max(FEW_FILES, most // FILE_ROWS)), f"{self.folder}/{self.count}")
 
     def close(self) -> None:
         """Deletes the tables; what was made from them must have been written by then."""

@@ -131,11 +131,40 @@ def test_components_equal_brute_force(spark, monkeypatch, rounds):
     rows = near_copies()
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", 7)  # many tiles
     plain = jaccard.link_components
-    monkeypatch.setattr(jaccard, "link_components", lambda sets: plain(sets, rounds))
+    monkeypatch.setattr(jaccard, "link_components", lambda sets, scratch: plain(sets, scratch, rounds))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs(spark, rows)).collect()}
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("fan", [1, 1000])
+def test_ranges_units_and_levels_change_no_result(spark, monkeypatch, fan):
+    """Many small units, ranges from one to many, with merged exchanges in between; empty rows fill units too."""
+    rows = near_copies()
+    rows += [(1000 + i, "") for i in range(400)]
+    for name, value in (("UNIT_SHINGLES", 300), ("RANGE_BYTES", 3000), ("FAN", fan)):
+        monkeypatch.setattr(jaccard, name, value)
+    got = jaccard.jaccard_components(docs(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows[:-400]) | {k: (0, k) for k, _ in rows[-400:]} and len(got) == len(rows)
+
+
+def test_long_texts_are_hashed_by_parts():
+    raw = np.frombuffer(("  " + prose(3, 5000) + " x\n" + "y" * 3000 + "  ").encode(), np.uint8)
+    whole = jaccard.word_hashes(raw, np.array([0, len(raw)]))
+    parts = jaccard.text_word_hashes(raw, np.array([0, len(raw)]), 100)
+    assert np.array_equal(whole[0], parts[0]) and whole[1].tolist() == parts[1].tolist()
+
+
+def test_scratch_tables_go(spark):
+    from strandline.llm.shared import Scratch
+
+    scratch = Scratch(spark, "test")
+    table = scratch.cut(spark.range(5))
+    assert table.count() == 5
+    scratch.close()
+    with pytest.raises(Exception):
+        spark.read.parquet(scratch.folder)
+
+
 def test_components_odd_rows_and_kept_rows(spark):
     out = jaccard.jaccard_components(docs(spark)).collect()
     assert len(out) == len(ODD) and all(r.component_id == r.doc_id for r in out)
