@@ -293,6 +293,17 @@ def test_rule_order_changes_no_verdict(spark):
     assert all({"rule", "cost", "rejects"} <= set(x) for x in rules.order_rules(docs(spark)))
 
 
+def test_rule_order_follows_cost_and_rejections(spark):
+    df = docs(spark, [(i, prose(i, 400)) for i in range(40)])
+    slow = "length(" + "regexp_replace(reverse(" * 6 + "_text" + "), '[aeiou]+', 'xy')" * 6 + ")"
+    cheap, dear = rules.Rule("cheap", "n_words > 0"), rules.Rule("dear", f"{slow} > 0")
+    rare, never = rules.Rule("rare", "pmod(xxhash64(_text), 20) = 0"), rules.Rule("never", "n_words < 0")
+    found = [x["rule"].name for x in rules.order_rules(df, (never, dear, rare, cheap))]
+    assert found.index("cheap") < found.index("dear") and found[-1] == "never" and found[0] == "cheap"
+    every = rules.order_rules(df, (dear, rules.Rule("dear_never", f"{slow} < 0")))
+    assert [x["rejects"] for x in every] == [1.0, 0.0] and every[0]["cost"] > 1e-6
+
+
 # --- pieces
 
 
