@@ -8,14 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strandline.values import ARCHIVE, BIOGRAPHY_PREFIXES, BINARY_SUFFIXES, NOISE_SEGMENTS, PAGE_TYPES, PRIORITY
-
-_ARCHIVED = r"^https?://web\.archive\.org/web/\d+[^/]*/(.+)"
+from strandline.values import ARCHIVE, ARCHIVED, BIOGRAPHY_PREFIXES, BINARY_SUFFIXES, NOISE_SEGMENTS, PAGE_TYPES, PRIORITY
 
 
 def original_url(url: Column) -> Column:
     """The url inside an archive url, else the url itself."""
-    return F.when(url.rlike(_ARCHIVED), F.regexp_extract(url, _ARCHIVED, 1)).otherwise(url)
+    return F.when(url.rlike(ARCHIVED), F.regexp_extract(url, ARCHIVED, 1)).otherwise(url)
 
 
 def archive_url(timestamp: Column, url: Column) -> Column:

@@ -41,6 +41,11 @@ def stratified_sample(captures: DataFrame, most: int, site: str = "site") -> Dat
     return captures.withColumn("_k", F.row_number().over(in_month)).withColumn("_g", F.row_number().over(in_turn)).where(F.col("_g") <= most).drop("_k", "_g")
 
 
+def in_order(captures: DataFrame, site: str = "site") -> DataFrame:
+    """Captures by time within each site; a site's rows lie together, and nothing is sorted over all sites."""
+    return captures.repartition(site).sortWithinPartitions(site, "timestamp", "ordinal")
+
+
 def not_done(rows: DataFrame, done: DataFrame, url: str, done_url: str = "url") -> DataFrame:
     """Rows whose url is not in the progress log."""
     return rows.join(done.select(F.col(done_url).alias("_done")).distinct(), F.col(url) == F.col("_done"), "left_anti")

@@ -23,10 +23,18 @@ def not_labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return pages.join(labels.select("snap_url_pattern").distinct(), "snap_url_pattern", "left_anti")
 
 
-def ask(pages: DataFrame, answers: DataFrame) -> DataFrame:
-    """Labels from a table of answers (prompt, answer); pages without an answer are left for later."""
-    asked = pages.withColumn("prompt", prompt(F.col("original_url"), F.col("text_excerpt")))
-    return asked.join(answers, "prompt").select("snap_url_pattern", parse_label(F.col("answer")).alias("page_type_llm"))
+def ask(pages: DataFrame, answers: DataFrame, max_errors: int = Options.max_errors) -> DataFrame:
+    """Labels from a table of answers (prompt, answer, maybe error); pages without an answer are left for later, as are those with an error.
+
+    In the order of url patterns, labelling stops at the error after the first ``max_errors``.
+    """
+    asked = pages.withColumn("prompt", prompt(F.col("original_url"), F.col("text_excerpt"))).join(answers, "prompt")
+    if "error" in answers.columns:
+        first = asked.where("error IS NOT NULL").select("snap_url_pattern").orderBy("snap_url_pattern").limit(max_errors + 1)
+        seen = first.agg(F.count("*").alias("n"), F.max("snap_url_pattern").alias("last")).first()
+        asked = asked.where("error IS NULL")
+        asked = asked.where(F.col("snap_url_pattern") < seen["last"]) if seen["n"] > max_errors else asked
+    return asked.select("snap_url_pattern", parse_label(F.col("answer")).alias("page_type_llm"))
 
 
 def label_with(pages: DataFrame, scorer: Column) -> DataFrame:
@@ -44,7 +52,15 @@ def preview(pages: DataFrame, n: int = 10) -> DataFrame:
 
 
 def final_page_type(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """``pages`` with ``final_page_type``: the label of the page's url pattern if there is one, else the url's category."""
-    last = labels.groupBy(F.col("snap_url_pattern").alias("_pattern")).agg(F.min("page_type_llm").alias("_label"))
+    """``pages`` with ``final_page_type``: the label of the page's url pattern if there is one, else the url's category.
+
+    Of several labels the last by ``labelled_at`` counts, where the labels have it (ties, and without it: the least); null ones don't.
+    """
+    known = labels.where("page_type_llm IS NOT NULL").groupBy(F.col("snap_url_pattern").alias("_pattern"))
+    if "labelled_at" in labels.columns:
+        early = F.coalesce(-F.col("labelled_at").cast("double"), F.lit(float("inf")))
+        last = known.agg(F.min(F.struct(early, F.col("page_type_llm").alias("label")))["label"].alias("_label"))
+    else:
+        last = known.agg(F.min("page_type_llm").alias("_label"))
     keyed = pages.withColumn("_key", url_pattern(original_url(F.col("snap_url"))))
     return keyed.join(last, F.col("_key") == F.col("_pattern"), "left").withColumn("final_page_type", F.coalesce("_label", "page_type")).drop("_key", "_pattern", "_label")

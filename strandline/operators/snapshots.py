@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.text import n_char, n_words, page_text
-from strandline.functions.urls import page_type, resolve_frame, resolve_link
+from strandline.functions.urls import page_type, priority, resolve_frame, resolve_link
 from strandline.values import DATA_SOURCE, SEPARATOR, Options
 
 
@@ -52,8 +52,19 @@ def snapshots(captures: DataFrame, store: DataFrame, options: Options = Options(
     home = homes.join(content, "root", "left").select("root", F.col("root").alias("snap_url"), F.coalesce("content", F.lit("")).alias("snap_content"), F.lit(True).alias("is_home"))
     pages = store.select(F.col("url").alias("link"), page_text(F.col("segments"), options.max_repeats).alias("snap_content"))
     sub = links.where("link <> root").join(pages, "link").select("root", F.col("link").alias("snap_url"), "snap_content", F.lit(False).alias("is_home"))
-    once = Window.partitionBy("root", "snap_content").orderBy(F.col("is_home").desc(), "snap_url")
-    return home.unionByName(sub).withColumn("_n", F.row_number().over(once)).where("_n = 1").select(F.col("root").alias("wayback_url"), "snap_url", "snap_content", "is_home")
+    return first_of_content(home.unionByName(sub), "root", "snap_content", F.col("is_home").desc(), "snap_url").select(F.col("root").alias("wayback_url"), "snap_url", "snap_content", "is_home")
+
+
+def first_of_content(rows: DataFrame, group: str, content: str, *order) -> DataFrame:
+    """Of the rows of a group with equal content the first in ``order``."""
+    (n,) = [c for c in ("_n", "__n", "___n") if c not in rows.columns][:1]
+    once = Window.partitionBy(group, content).orderBy(*order)
+    return rows.withColumn(n, F.row_number().over(once)).where(F.col(n) == 1).drop(n)
+
+
+def by_priority(pages: DataFrame, group: str, *then) -> DataFrame:
+    """``pages`` (with ``page_type``) and their ``place`` in the group: the more important categories first."""
+    return pages.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(priority(F.col("page_type")), *then)))
 
 
 def page_rows(captures: DataFrame, snaps: DataFrame) -> DataFrame:
@@ -85,6 +96,6 @@ def longest_snapshot(pages: DataFrame, key=("candidate", "state", "office", "yea
 
 
 def page_type_shares(pages: DataFrame, kind: str = "page_type") -> DataFrame:
-    """Count and share of each category; the total is a sum over the handful of categories."""
+    """Count and share of each category; the total is a window over the handful of categories."""
     counts = pages.groupBy(kind).agg(F.count("*").alias("n"))
-    return counts.join(F.broadcast(counts.agg(F.sum("n").alias("_all")))).select(kind, "n", (F.col("n") / F.col("_all")).alias("share"))
+    return counts.select(kind, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))

@@ -11,9 +11,10 @@ from strandline.operators import captures as C
 from strandline.operators import reclassify as R
 from strandline.operators import roster as O
 from strandline.operators import snapshots as S
+from strandline.sources.held import hold
 from strandline.sources.html import page_store
 from strandline.sources.tables import url_cache
-from strandline.values import ARCHIVE, BIOGRAPHY_PREFIXES, FOOTER, NOISE_SEGMENTS, PAGE_TYPES, PRIORITY, STATES, TOOLBAR_END
+from strandline.values import ARCHIVE, BIOGRAPHY_PREFIXES, FOOTER, NOISE_SEGMENTS, PAGE_TYPES, PRIORITY, SEPARATOR, STATES, TOOLBAR_END
 
 SEGMENTS = ["issues", "about", "Press-Releases", "donate", "index.php/News", "meet-jane", "public/site", "district", "endorsements", "privacy.html", "", "home", "index.cfm", "en/825;x=1?page=2", "pages/Platform/tax#top"]
 
@@ -78,10 +79,8 @@ def page_type_distribution(spark, sf_dir):
 
 @query(f"WITH {SITES}, k AS (SELECT site, ordinal, {_kind_sql('wayback_url')} AS page_type FROM sites) SELECT site, ordinal, page_type, row_number() OVER (PARTITION BY site ORDER BY list_position([{_quoted(PRIORITY)}], page_type), ordinal)::INT AS place FROM k")
 def subpage_priority(spark, sf_dir):
-    from pyspark.sql import Window
-
     kinds = _sites(spark, sf_dir).select("site", "ordinal", U.page_type(F.col("wayback_url")).alias("page_type"))
-    return kinds.withColumn("place", F.row_number().over(Window.partitionBy("site").orderBy(U.priority(F.col("page_type")), "ordinal")))
+    return S.by_priority(kinds, "site", "ordinal")
 
 
 @query("""SELECT page_id, regexp_replace(rtrim(lower(url), '/'), '^(https?://)www\\.', '\\1') AS dedup_url, regexp_replace(regexp_replace(url, '^https://', ''), '^http://', '').rtrim('/') AS pattern,
@@ -153,10 +152,7 @@ def text_metrics(spark, sf_dir):
 
 @query("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source, text ORDER BY doc_id) = 1")
 def content_dedup(spark, sf_dir):
-    from pyspark.sql import Window
-
-    once = Window.partitionBy("source", "text").orderBy("doc_id")
-    return _read(spark, sf_dir, "documents").withColumn("_n", F.row_number().over(once)).where("_n = 1").select("doc_id", "source")
+    return S.first_of_content(_read(spark, sf_dir, "documents"), "source", "text", "doc_id").select("doc_id", "source")
 
 
 def _other_rows(spark, sf_dir):
@@ -216,17 +212,19 @@ def roster_build(spark, sf_dir):
 
 
 def _sources(spark, sf_dir):
-    supplier = _read(spark, sf_dir, "supplier")
-    committees = supplier.where("s_suppkey % 2 = 0").select(F.concat(F.lit("C"), F.col("s_suppkey").cast("string")).alias("pcc"), F.when(F.col("s_suppkey") % 6 == 0, "").otherwise(F.concat(F.lit("WWW.S"), F.col("s_suppkey").cast("string"), F.lit(".org"))).alias("website"))
-    part = _read(spark, sf_dir, "part").where("p_partkey % 3 = 0")
-    websites = part.select(F.col("p_partkey").alias("qid"), F.concat(F.lit("http://kb"), F.col("p_partkey").cast("string")).alias("website"), F.col("p_partkey").alias("ord"))
-    labels = part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("qid"), F.initcap("p_name").alias("name"))
+    """All suppliers as committees and all parts as knowledge-base entries; some have no website, or no name."""
+    k = F.col("s_suppkey")
+    committees = _read(spark, sf_dir, "supplier").select(F.concat(F.lit("C"), k.cast("string")).alias("pcc"), F.when((k % 2 == 1) | (k % 6 == 0), "").otherwise(F.concat(F.lit("WWW.S"), k.cast("string"), F.lit(".org"))).alias("website"))
+    part, k = _read(spark, sf_dir, "part"), F.col("p_partkey")
+    websites = part.select(k.alias("qid"), F.when(k % 3 == 0, F.concat(F.lit("http://kb"), k.cast("string"))).otherwise("").alias("website"), k.alias("ord"))
+    labels = part.select(k.alias("qid"), F.when(k % 2 == 1, F.initcap("p_name")).alias("name"))
     return O.CommitteeSource(committees), O.NameSource(websites, labels)
 
 
-_COMMITTEES = "committees AS (SELECT 'C' || s_suppkey AS pcc, CASE WHEN s_suppkey % 6 = 0 THEN '' ELSE 'https://www.s' || s_suppkey || '.org' END AS u0 FROM supplier WHERE s_suppkey % 2 = 0)"
-_KB = f"""kb AS (SELECT ordinal AS o, 'http://kb' || min(p_partkey) AS u1 FROM roster JOIN part ON p_partkey % 3 = 0 AND p_partkey % 2 = 1 AND lower({_W2}) = lower(string_split(candidate, ' ')[-1])
-  AND contains(lower(p_name), lower(candidate)[1:3]) GROUP BY ordinal)"""
+_COMMITTEES = "committees AS (SELECT 'C' || s_suppkey AS pcc, CASE WHEN s_suppkey % 2 = 1 OR s_suppkey % 6 = 0 THEN '' ELSE 'https://www.s' || s_suppkey || '.org' END AS u0 FROM supplier)"
+_KB = f"""entries AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'http://kb' || p_partkey ELSE '' END AS website, CASE WHEN p_partkey % 2 = 1 THEN lower(p_name) END AS known, lower({_W2}) AS last FROM part),
+  kb AS (SELECT ordinal AS o, 'http://kb' || min(p_partkey) AS u1 FROM roster JOIN entries ON website <> '' AND known IS NOT NULL AND last = lower(string_split(candidate, ' ')[-1])
+  AND contains(known, lower(candidate)[1:3]) GROUP BY ordinal)"""
 
 
 @query(f"WITH {_ROSTER}, {_COMMITTEES}, {_KB} SELECT ordinal, candidate, coalesce(nullif(u0, ''), u1, '') AS website_url FROM roster LEFT JOIN committees USING (pcc) LEFT JOIN kb ON o = ordinal")
@@ -262,12 +260,14 @@ def llm_answer_parse(spark, sf_dir):
     return _read(spark, sf_dir, "events").select("event_id", T.parse_label(F.expr(_ANSWER)).alias("label"))
 
 
-@query(f"WITH {SITES}, l AS (SELECT event_id, {_PARSED} AS label FROM events) SELECT ordinal, coalesce(label, {_kind_sql('wayback_url')}) AS final_page_type FROM sites LEFT JOIN l ON event_id = ordinal AND ordinal % 2 = 0 AND 'x' || ordinal <> ''")
+@query(f"WITH {SITES}, l AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN {_PARSED} END AS label FROM events) SELECT ordinal, coalesce(label, {_kind_sql('wayback_url')}) AS final_page_type FROM sites LEFT JOIN l ON event_id = ordinal")
 def final_page_type(spark, sf_dir):
+    """Labels for all urls, null for odd numbers; each even one has an older label that must lose."""
     pages = _sites(spark, sf_dir).select("ordinal", F.concat("wayback_url", F.lit("?id="), F.col("ordinal").cast("string")).alias("snap_url"), U.page_type(F.col("wayback_url")).alias("page_type"))
-    keys = pages.where("ordinal % 2 = 0").select(F.col("ordinal").alias("event_id"), U.url_pattern(U.original_url(F.col("snap_url"))).alias("snap_url_pattern"))
-    labels = llm_answer_parse(spark, sf_dir).join(keys, "event_id").select("snap_url_pattern", F.col("label").alias("page_type_llm"))
-    return R.final_page_type(pages, labels).select("ordinal", "final_page_type")
+    keys = pages.select(F.col("ordinal").alias("event_id"), U.url_pattern(U.original_url(F.col("snap_url"))).alias("snap_url_pattern"))
+    answered = llm_answer_parse(spark, sf_dir).join(keys, "event_id").select("snap_url_pattern", F.when(F.col("event_id") % 2 == 0, F.col("label")).alias("page_type_llm"), F.lit(2).alias("labelled_at"))
+    older = answered.where("page_type_llm IS NOT NULL").select("snap_url_pattern", F.lit("action").alias("page_type_llm"), F.lit(1).alias("labelled_at"))
+    return R.final_page_type(pages, answered.unionByName(older)).select("ordinal", "final_page_type")
 
 
 def _store(spark, sf_dir) -> DataFrame:
@@ -277,8 +277,8 @@ def _store(spark, sf_dir) -> DataFrame:
     url = F.concat(F.lit("http://p"), F.col("page_id").cast("string"), F.lit(".example.org/"))
     main = pages.select(U.archive_url(F.lit("20200101000000"), url).alias("url"), F.concat(F.lit(TOOLBAR_END), "html", tail, F.lit(FOOTER)).alias("html"))
     about = pages.select(U.archive_url(F.lit("20200101000000"), F.concat(url, F.lit("about"))).alias("url"), F.concat(F.lit(TOOLBAR_END + "<p>About page "), F.col("page_id").cast("string"), F.lit("</p>" + FOOTER)).alias("html"))
-    # Frames, links and pages all join the parsed pages: parsed once, kept while the query runs, rebuilt if an executor goes.
-    return page_store(main.unionByName(about)).persist()
+    # Frames, links and pages all join the parsed pages: parsed once, to a table.
+    return hold(page_store(main.unionByName(about)))
 
 
 def _homes(spark, sf_dir) -> DataFrame:
@@ -286,22 +286,84 @@ def _homes(spark, sf_dir) -> DataFrame:
     return _read(spark, sf_dir, "pages").select(U.archive_url(F.lit("20200101000000"), url).alias("wayback_url"), F.lit("20200101000000").alias("timestamp"), url.alias("website_url"), F.concat(F.lit("C"), F.col("page_id").cast("string")).alias("candidate"), F.lit("OH").alias("state"), F.lit("01").alias("district"), F.lit("house").alias("office"), F.lit(2020).alias("year"), F.lit("D").alias("party"))
 
 
-@query()
+_AT = ARCHIVE + "20200101000000/"
+#: The pages' markup as SQL sees it: nothing in the head is visible, comments part texts, and the tags of the bodies hide none.
+_STORE = f"""raw AS (SELECT page_id, regexp_replace(regexp_replace(html, '^.*?</head>', '', 's') || '<x><a href="/about">About</a>', '<!--.*?-->', '<x>', 'gs') AS body FROM pages),
+  cells AS (SELECT page_id, regexp_split_to_array(body, '<[^>]*>') AS a FROM raw),
+  texts AS (SELECT page_id, list_filter(list_transform(a, lambda x: regexp_replace(replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '^\\s+|\\s+$', '', 'g')), lambda x: length(x) > 2) AS a FROM cells),
+  e AS (SELECT page_id, unnest(a) AS x, unnest(range(1, len(a) + 1)) AS i FROM texts),
+  k AS (SELECT page_id, x, i FROM (SELECT *, count(*) OVER (PARTITION BY page_id, x) AS c FROM e) WHERE c <= 2 OR length(x) < 5),
+  w AS (SELECT *, lag(x) OVER (PARTITION BY page_id ORDER BY i) AS before FROM k),
+  j AS (SELECT page_id, string_agg(x, '{SEPARATOR}' ORDER BY i) AS t FROM w WHERE before IS NULL OR before <> x GROUP BY page_id),
+  main AS (SELECT page_id, '{_AT}http://p' || page_id || '.example.org/' AS url, coalesce(t, '') AS visible FROM pages LEFT JOIN j USING (page_id)),
+  about AS (SELECT page_id, '{_AT}http://p' || page_id || '.example.org/about' AS url, 'About page ' || page_id AS visible FROM pages)"""
+#: Every fifth page frames the next, so a page's content is its own text and that of its frame, and its links are those of both.
+_FRAMED = f"""framed AS (SELECT m.page_id, m.url AS root, m.visible || coalesce(f.visible, '') AS content FROM main m LEFT JOIN main f ON m.page_id % 5 = 0 AND f.page_id = m.page_id + 1),
+  hrefs AS (SELECT page_id, replace(unnest(regexp_extract_all(body, '<a href="([^"]*)"', 1)), '&amp;', '&') AS href FROM raw),
+  links AS (SELECT DISTINCT '{_AT}http://p' || r.page_id || '.example.org/' AS root, '{_AT}http://p' || h.page_id || '.example.org' || href AS link
+            FROM pages r JOIN hrefs h ON h.page_id = r.page_id OR (r.page_id % 5 = 0 AND h.page_id = r.page_id + 1))"""
+
+
+@query(f"WITH {_STORE} SELECT url, visible FROM main UNION ALL SELECT url, visible FROM about")
 def visible_text(spark, sf_dir):
     return _store(spark, sf_dir).select("url", T.page_text(F.col("segments")).alias("visible"))
 
 
-@query()
+@query(f"WITH {_STORE}, {_FRAMED} SELECT root, link FROM links")
 def page_links(spark, sf_dir):
     return S.page_content(_homes(spark, sf_dir).select(F.col("wayback_url").alias("root")), _store(spark, sf_dir))[1]
 
 
-@query()
+@query(f"""WITH {_STORE}, {_FRAMED},
+  store AS (SELECT url, visible FROM main UNION ALL SELECT url, visible FROM about),
+  snaps AS (SELECT root, root AS url, content, 0 AS o FROM framed UNION ALL SELECT root, url, visible, 1 FROM links JOIN store ON url = link WHERE link <> root),
+  once AS (SELECT * FROM snaps WHERE content <> '' QUALIFY row_number() OVER (PARTITION BY root, content ORDER BY o, url) = 1)
+  SELECT 'C' || page_id AS candidate, 'OH' AS state, '01' AS district, 'house' AS office, 2020::INT AS "year", 'D' AS party, 2::INT AS stage, '20200101000000' AS date, 'http://p' || page_id || '.example.org/' AS urlkey,
+    once.url AS snap_url, {_kind_sql('once.url')} AS page_type, 'wayback_cdx' AS data_source, 0::INT AS n_tags, 0::INT AS n_clean_tags, content AS text_snap_content, length(content)::INT AS n_char, len(regexp_extract_all(content, '\\S+'))::INT AS n_words
+  FROM once JOIN main ON main.url = root""")
 def snapshot_rows(spark, sf_dir):
     homes = _homes(spark, sf_dir)
     return S.page_rows(homes, S.snapshots(homes, _store(spark, sf_dir)))
 
 
+@query("SELECT event_id, 'C' || event_id AS pcc, CASE WHEN event_id % 3 = 0 THEN '' ELSE trim(' site' || user_id || '.org ') END AS website FROM events")
+def committee_answers(spark, sf_dir):
+    """Events as a lookup service's JSON answers: some without results, some with more than one."""
+    body = F.when(F.col("event_id") % 3 == 0, F.lit('{"results": []}')).otherwise(F.concat(F.lit('{"pages": 1, "results": [{"website": " site'), F.col("user_id").cast("string"), F.lit('.org "}, {"website": "no"}]}')))
+    answers = _read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("C"), F.col("event_id").cast("string")).alias("pcc"), body.alias("body"))
+    return answers.select("event_id", "pcc").join(O.committees_from_json(answers), "pcc")
+
+
+@query(f"""WITH {_ROSTER}, c AS (SELECT ordinal, pcc, candidate, CASE WHEN ordinal % 5 = 0 THEN '' WHEN ordinal % 7 = 0 THEN 'http://cached' || ordinal END AS hit FROM roster), {_COMMITTEES}, {_KB},
+  f AS (SELECT ordinal, coalesce(hit, u0, '') AS a, coalesce(u1, '') AS b FROM c LEFT JOIN committees USING (pcc) LEFT JOIN kb ON o = ordinal)
+  SELECT ordinal, CASE WHEN a <> '' THEN a ELSE b END AS website_url, CASE WHEN a <> '' THEN 'committees' WHEN b <> '' THEN 'names' END AS url_source FROM f""")
+def cached_waterfall(spark, sf_dir):
+    """The waterfall with a cache before the first source: known misses (every fifth) are not asked again, known urls (every seventh) are taken."""
+    roster = O.build_roster(_raw_candidates(spark, sf_dir), 2020, "house").withColumn("roster_id", F.col("ordinal"))
+    k = F.col("ordinal")
+    # district and state are part of the roster's key but not of the cache's: the id makes names unique here
+    named = roster.withColumn("candidate", F.concat("candidate", F.lit(" #"), k.cast("string")))
+    cache = named.where((k % 5 == 0) | (k % 7 == 0)).select("candidate", "state", F.col("year").cast("string").alias("year"), F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("http://cached"), k.cast("string"))).alias("url"))
+    committees, names = _sources(spark, sf_dir)
+    plain = _Renamed(names)
+    return O.fill_urls(named, [O.CachedSource(committees, cache), plain]).select("ordinal", "website_url", "url_source")
+
+
+class _Renamed:
+    """The name source, for names with a number behind them."""
+
+    name = "names"
+
+    def __init__(self, source):
+        self.source = source
+
+    def is_available(self):
+        return True
+
+    def urls(self, roster):
+        return self.source.urls(roster.withColumn("candidate", F.regexp_replace("candidate", r" #\d+$", "")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to page records to the distribution of categories."""
     return S.page_type_shares(snapshot_rows(spark, sf_dir)).orderBy("page_type")

@@ -8,11 +8,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.text import is_archived, strip_toolbar
+from strandline.functions.text import is_archived, rate_limited, strip_toolbar
 from strandline.functions.urls import is_binary
 from strandline.values import BINARY_SUFFIXES, HIDDEN_PARENTS
 
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Tags without content, of HTML5 and before it.
+_VOID = frozenset([
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link", "menuitem", "meta", "param", "source", "track", "wbr",
+    "basefont", "bgsound", "command", "frame", "image", "isindex", "nextid", "spacer",
+])
 PARSED = "struct<segments:array<string>,links:array<string>,frames:array<string>>"
 _TYPE = pa.struct([(x, pa.list_(pa.string())) for x in ("segments", "links", "frames")])
 
@@ -38,19 +42,19 @@ class _Page(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.flush()
-        found = dict(reversed(attrs))
+        found = dict(attrs)  # of attributes given twice the last
         if tag in ("a", "area") and "href" in found:
             self.links.append((found["href"] or "").strip())
         elif tag == "frame" and found.get("src"):
             self.frames.append(found["src"])
         elif tag == "iframe" and found.get("src"):
             self.inline.append(found["src"])
-        if tag not in _VOID and tag != "frame":
+        if tag not in _VOID:
             self.open.append(tag)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in _VOID and tag != "frame":
+        if tag not in _VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
@@ -86,7 +90,14 @@ def parse_html(html: Column) -> Column:
     return F.arrow_udf(_parse, PARSED)(html)
 
 
-def page_store(pages: DataFrame, url: str = "url", html: str = "html", suffixes=BINARY_SUFFIXES) -> DataFrame:
-    """(url, segments, links, frames) of the archived, non-binary pages of a store, each url's page parsed once."""
-    kept = pages.where(~is_binary(F.col(url), suffixes) & is_archived(F.col(html))).groupBy(F.col(url).alias("url")).agg(F.min(html).alias("html"))
-    return kept.select("url", parse_html(strip_toolbar(F.col("html"))).alias("p")).select("url", "p.segments", "p.links", "p.frames")
+def page_store(pages: DataFrame, url: str = "url", html: str = "html", suffixes=BINARY_SUFFIXES, ordinal: str | None = None) -> DataFrame:
+    """(url, segments, links, frames) of the archived, non-binary pages of a store, each url's page parsed once.
+
+    Of several pages of a url one that does not say that requests were limited counts, and of these the last by ``ordinal`` (without
+    one: by a hash of the page). Only numbers of pages are shuffled to tell which go; pages are not, while those are few.
+    """
+    place = F.col(ordinal) if ordinal else F.xxhash64(html)
+    kept = pages.where(~is_binary(F.col(url), suffixes) & is_archived(F.col(html))).select(F.col(url).alias("url"), F.col(html).alias("html"), F.struct((~rate_limited(F.col(html))).alias("whole"), place.alias("place"), F.monotonically_increasing_id().alias("row")).alias("at"))
+    best = kept.groupBy("url").agg(F.max("at").alias("best"), F.count("*").alias("n")).where("n > 1").select(F.col("url").alias("_url"), "best")
+    last = kept.join(best, (F.col("url") == F.col("_url")) & (F.col("at") != F.col("best")), "left_anti")
+    return last.select("url", parse_html(strip_toolbar(F.col("html"))).alias("p")).select("url", "p.segments", "p.links", "p.frames")

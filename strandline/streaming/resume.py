@@ -10,12 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strandline.operators.captures import not_done
 from strandline.operators.snapshots import page_rows, progress_rows, snapshots
+from strandline.values import Options
 
 
-def scrape(captures: DataFrame, store: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
+def scrape(captures: DataFrame, store: DataFrame, done: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame]:
     """(page rows, progress rows) of the captures that aren't done."""
     fresh = not_done(captures, done, "wayback_url")
-    return page_rows(fresh, snapshots(fresh, store)), progress_rows(fresh)
+    return page_rows(fresh, snapshots(fresh, store, options)), progress_rows(fresh)
 
 
 def scrape_stream(captures: DataFrame, store: Callable[[], DataFrame], done: Callable[[], DataFrame], pages_path: str, progress_path: str, checkpoint: str) -> StreamingQuery:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zipfile
 from urllib.parse import urlparse
 
 import pytest
@@ -14,6 +15,7 @@ from strandline.operators import reclassify as R
 from strandline.operators import roster as O
 from strandline.operators import snapshots as S
 from strandline.sources import tables
+from strandline.sources.held import hold
 from strandline.sources.html import page_store, parse_page
 from strandline.streaming.resume import scrape, scrape_stream
 from strandline.values import ARCHIVE, BIOGRAPHY_PREFIXES, FOOTER, NOISE_SEGMENTS, PAGE_TYPES, TOOLBAR_END
@@ -124,9 +126,73 @@ def test_candidate_scan_and_roster(spark, tmp_path):
     committees = spark.createDataFrame([("C1 ", "Doe.org")], "pcc string, website string")
     websites = spark.createDataFrame([(1, "http://poe.com", 0), (2, "http://no.com", 1)], "qid long, website string, ord long")
     labels = spark.createDataFrame([(1, "Pat P Poe"), (3, "x")], "qid long, name string")
-    filled = O.fill_urls(roster.withColumn("roster_id", F.col("ordinal")), [O.CommitteeSource(committees), O.CacheSource(None), O.NameSource(websites, labels)])
+    filled = O.fill_urls(roster.withColumn("roster_id", F.col("ordinal")), [O.CommitteeSource(committees), O.NameSource(websites, labels)])
     assert [(r.candidate, r.website_url) for r in O.finish_roster(filled).orderBy("candidate").collect()] == [("Jané Doe", "https://doe.org"), ("P Poe", "http://poe.com")]
     assert O.missing(filled).first().n_missing == 1
+    counts = O.source_counts(filled, [O.CommitteeSource(None), O.NameSource(None, None)])
+    assert [tuple(r) for r in counts.orderBy("place").collect()] == [(0, "committees", 3, 1, 2), (1, "names", 2, 1, 1)]
+
+
+def people(spark):
+    rows = [(i, n, "OH", "01", 2020, f"C{i}", "") for i, n in enumerate(["Ann Lee", "Bob Roe", "Cy Poe", "Di Fox"])]
+    return spark.createDataFrame(rows, "roster_id long, candidate string, state string, district string, year int, cand_pcc string, website_url string")
+
+
+def test_cached_sources_are_not_asked_again(spark):
+    committees = spark.createDataFrame([(f"C{i}", f"c{i}.org") for i in range(3)], "pcc string, website string")
+    websites = spark.createDataFrame([(1, "http://ann.com", 0), (2, "", 1), (2, "http://fox.com", 2), (3, "http://x.com", 3)], "qid long, website string, ord long")
+    labels = spark.createDataFrame([(1, "Ann Lee"), (2, "Di Fox"), (3, None)], "qid long, name string")
+    cache = spark.createDataFrame([("Ann Lee", "OH", "2020", ""), ("Bob Roe", "OH", "2020", "http://known.org")], "candidate string, state string, year string, url string")
+    cached, names = O.CachedSource(O.CommitteeSource(committees), cache), O.NameSource(websites, labels)
+
+    class Broken:
+        name = "broken"
+        is_available = staticmethod(lambda: True)
+
+        def urls(self, roster):
+            raise RuntimeError("no service")
+
+    class Fails(Broken):
+        def urls(self, roster):
+            return roster.select("roster_id", F.raise_error(F.lit("no service")).cast("string").alias("url"))
+
+    want = [("Ann Lee", "http://ann.com", "names"), ("Bob Roe", "http://known.org", "committees"), ("Cy Poe", "https://c2.org", "committees"), ("Di Fox", "http://fox.com", "names")]
+    got = lambda filled: [(r.candidate, r.website_url, r.url_source) for r in filled.orderBy("roster_id").collect()]
+    assert got(O.fill_urls(people(spark), [Broken(), cached, names])) == want
+    told = []
+    filled = O.fill_urls(people(spark), [Fails(), cached, names], hold, lambda s, asked, found: told.append((s.name, asked.count(), s.new_entries(asked, found, 5.0).collect() if s is cached else None)))
+    assert got(filled) == want
+    assert [(n, k) for n, k, _ in told] == [("committees", 4), ("names", 2)]
+    assert {(r.candidate, r.url, r.cached_at) for r in told[0][2]} == {("Cy Poe", "https://c2.org", "5.0"), ("Di Fox", "", "5.0")}
+
+
+def test_json_answers_and_zipped_candidates(spark, tmp_path):
+    bodies = ['{"results": [{"website": " a.org "}, {"website": "b.org"}]}', '{"results": []}', "{}", "not json", '{"results": [{"website": null}]}', None]
+    answers = spark.createDataFrame(list(enumerate(bodies)), "pcc string, body string".replace("pcc string", "pcc long"))
+    assert [r.website for r in O.committees_from_json(answers).orderBy("pcc").collect()] == ["a.org", "", "", "", "", ""]
+    lines = ["|".join(["H1", f"DOE, JANÉ {i}", "DEM", "2020", "OH", "H", "01", "I", "C", "C1", "s", "", "c", "OH", "1"]) for i in range(50)]
+    with zipfile.ZipFile(tmp_path / "cn20.zip", "w") as z:
+        z.writestr("readme.md", "no")
+        z.writestr("cn.txt", "\r\n".join(lines).encode("latin-1"))
+        z.writestr("other.txt", "H2|X")
+    assert tables.first_existing(spark, [f"{tmp_path}/cn2020.zip", f"{tmp_path}/cn20.zip"]).endswith("cn20.zip")
+    for _ in range(2):  # the second time from the kept lines
+        raw = tables.candidates(spark, f"{tmp_path}/cn20.zip", f"{tmp_path}/kept")
+        assert [r.cand_name for r in raw.orderBy("ordinal").collect()] == [f"DOE, JANÉ {i}" for i in range(50)]
+        (tmp_path / "cn20.zip").exists() and (tmp_path / "cn20.zip").write_bytes(b"")
+
+
+def test_scan_order_is_that_of_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for f in ("b", "a"):
+        (tmp_path / "in" / f).write_text("".join(f"20200101000000 http://{f}{i:05d} 200 text/html\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = [r.original_url for r in tables.captures(spark, f"{tmp_path}/in").orderBy("ordinal").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [f"http://{f}{i:05d}" for f in "ab" for i in range(3000)]
+    assert [r.ordinal for r in C.in_order(rows(spark, [("s", "2", "u"), ("s", "1", "u")])).collect()] == [1, 0]
 
 
 def test_cache_keeps_last_fresh_entry(spark):
@@ -142,6 +208,15 @@ def page(body):
 def test_parse_hides_scripts_and_orders_frames():
     out = parse_page('<head><title>t</title></head><body>a&amp;b<p>c<!-- no --></p><script>var t="</p>";</script><iframe src="i"></iframe><frame src="f"><frame><b>open<style>s</style>')
     assert [s for s in out["segments"] if s.strip()] == ["a&b", "c", "open"] and out["frames"] == ["f", "i"]
+    assert parse_page('<a href="x" href="y">l</a>')["links"] == ["y"]
+    assert parse_page("<head><basefont>t<bgsound></head><body>v")["segments"] == ["v"]
+
+
+def test_page_store_keeps_the_last_whole_page(spark):
+    pages = [(AT + "http://a.com/", page("one"), 1), (AT + "http://a.com/", page("two"), 2), (AT + "http://a.com/", page("Too many requests"), 3), (AT + "http://b.com/", page("too many requests"), 1), (AT + "http://c.com/", page("same"), 1), (AT + "http://c.com/", page("same"), 1)]
+    df = spark.createDataFrame(pages, "url string, html string, at long")
+    assert sorted((r.url[-6:], r.segments) for r in page_store(df, ordinal="at").collect()) == [("a.com/", ["two"]), ("b.com/", ["too many requests"]), ("c.com/", ["same"])]
+    assert sorted(r.url[-6:] for r in page_store(df).collect()) == ["a.com/", "b.com/", "c.com/"]
 
 
 def store(spark):
@@ -196,6 +271,25 @@ def test_reclassify(spark):
     assert abs(R.cost(other).first().dollars - 2 * 4.25e-5) < 1e-12
     answers = other.select(T.prompt(F.col("original_url"), F.col("text_excerpt")).alias("prompt"), F.lit("news").alias("answer"))
     assert {r.page_type_llm for r in R.ask(other, answers).collect()} == {"news"}
+    later = spark.createDataFrame([("a.com/x", "action", 2), ("a.com/x", "news", 3), ("a.com/x", "biography", 1), ("a.com/x", None, 4)], "snap_url_pattern string, page_type_llm string, labelled_at long")
+    assert sorted(r.final_page_type for r in R.final_page_type(pages, later).collect()) == ["news", "news", "news", "other"]
+
+
+def test_labelling_stops_after_too_many_errors(spark):
+    pages = spark.createDataFrame([(f"p{i}", f"u{i}", "t") for i in range(8)], "snap_url_pattern string, original_url string, text_excerpt string")
+    answers = pages.select(T.prompt(F.col("original_url"), F.col("text_excerpt")).alias("prompt"), F.lit("news").alias("answer"), F.when(F.col("snap_url_pattern").isin("p1", "p3", "p5"), "limit").alias("error"))
+    labelled = lambda most: sorted(r.snap_url_pattern for r in R.ask(pages, answers, most).collect())
+    assert labelled(50) == ["p0", "p2", "p4", "p6", "p7"] and labelled(2) == ["p0", "p2", "p4"] and labelled(0) == ["p0"]
+
+
+def test_longest_snapshot_and_candidate_files(spark, tmp_path):
+    data = [("Ann", "OH", "house", 2020, "20200102", "u2", 'long, "quoted"\ntext', 18), ("Ann", "OH", "house", 2020, "20200101", "u1", "short", 5), ("Bob", "TX", "house", 2020, "20200101", "u3", "b", 1), ("Ann", "OH", "house", 2020, "20200101", "u9", "also 18 characters", 18)]
+    pages = spark.createDataFrame(data, "candidate string, state string, office string, year int, date string, snap_url string, text_snap_content string, n_char int")
+    assert sorted((r.candidate, r.snap_url) for r in S.longest_snapshot(pages).collect()) == [("Ann", "u9"), ("Bob", "u3")]
+    tables.write_candidate_csv(pages, f"{tmp_path}/csv")
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{tmp_path}/csv")
+    assert sorted((r.file, r.date, r.text_snap_content) for r in back.collect()) == sorted((f"{c} ({s})", d, t) for c, s, _, _, d, _, t, _ in data)
+    assert sorted(r.snap_url for r in S.first_of_content(pages, "candidate", "text_snap_content", "snap_url").collect()) == ["u1", "u2", "u3", "u9"]
 
 
 def test_entry_and_queries_import():
@@ -211,20 +305,28 @@ def test_command_line(spark, tmp_path):
     line = "|".join(["H1", "DOE, JANE", "DEM", "2020", "OH", "H", "01", "I", "C", "C1", "s", "", "c", "OH", "1"])
     (tmp_path / "cn2020.txt").write_text(line)
     spark.createDataFrame([("C1", "a.com")], "pcc string, website string").write.parquet(f"{tmp_path}/committees")
-    cli.main(["roster", "--candidates", f"{tmp_path}/cn{{year}}.txt", "--office", "house", "--years", "2020", "--committees", f"{tmp_path}/committees", "--out", f"{tmp_path}/roster"], spark)
+    cli.main(["roster", "--candidates", f"{tmp_path}/cn{{year}}.txt", "--office", "house", "--years", "2020", "--committees", f"{tmp_path}/committees", "--cache", f"{tmp_path}/cache", "--out", f"{tmp_path}/roster"], spark)
+    assert [(r.candidate, r.url) for r in spark.read.parquet(f"{tmp_path}/cache/committees").collect()] == [("Jane Doe", "https://a.com")]
     (tmp_path / "index").write_text("20200601000000 http://www.a.com/ 200 text/html\n20190601000000 http://a.com/ 200 text/html\n")
     html = [(AT + "http://www.a.com/", page('<p>home text</p><a href="/xyz">x</a>')), (AT + "http://www.a.com/xyz", page("<p>other text</p>"))]
     spark.createDataFrame(html, "url string, html string").write.parquet(f"{tmp_path}/store")
     for _ in range(2):  # the second run has nothing to do
-        cli.main(["scrape", "--roster", f"{tmp_path}/roster", "--captures", f"{tmp_path}/index", "--store", f"{tmp_path}/store", "--office", "house", "--year", "2020", "--out", f"{tmp_path}/pages", "--progress", f"{tmp_path}/progress"], spark)
+        cli.main(["scrape", "--roster", f"{tmp_path}/roster", "--captures", f"{tmp_path}/index", "--store", f"{tmp_path}/store", "--office", "house", "--year", "2020", "--out", f"{tmp_path}/pages", "--progress", f"{tmp_path}/progress", "--csv", f"{tmp_path}/csv"], spark)
     pages = spark.read.parquet(f"{tmp_path}/pages")
     assert sorted((r.page_type, r.text_snap_content, r.district) for r in pages.collect()) == [("homepage", "home text", "01"), ("other", "other text", "01")]
+    # records of a run that stopped before its progress was written are not read
+    finished = spark.read.parquet(f"{tmp_path}/progress")
+    tables.append_pages(pages.drop("batch"), f"{tmp_path}/pages", "stopped")
+    assert tables.page_rows(spark, f"{tmp_path}/pages").count() == 4 and tables.page_rows(spark, f"{tmp_path}/pages", finished=finished).count() == 2
     assert S.status_counts(spark.read.parquet(f"{tmp_path}/progress")).first().asDict() == {"n": 1, "n_complete": 1, "n_failed": 0}
     todo = R.other_pages(tables.page_rows(spark, f"{tmp_path}/pages", "house", 2020))
     todo.select(T.prompt(F.col("original_url"), F.col("text_excerpt")).alias("prompt"), F.lit("Issues").alias("answer")).write.parquet(f"{tmp_path}/answers")
     for extra in (["--dry-run"], []):
-        cli.main(["classify", "--pages", f"{tmp_path}/pages", "--all", "--labels", f"{tmp_path}/labels", "--answers", f"{tmp_path}/answers", *extra], spark)
-    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/labels").collect()] == [("www.a.com/xyz", "issues")]
+        cli.main(["classify", "--pages", f"{tmp_path}/pages", "--all", "--labels", f"{tmp_path}/labels", "--progress", f"{tmp_path}/progress", "--answers", f"{tmp_path}/answers", *extra], spark)
+    assert [tuple(r)[:2] for r in spark.read.parquet(f"{tmp_path}/labels").collect()] == [("www.a.com/xyz", "issues")]
+    (tmp_path / "options.yaml").write_text("max_captures: 0\n")
+    cli.main(["scrape", "--config", f"{tmp_path}/options.yaml", "--roster", f"{tmp_path}/roster", "--captures", f"{tmp_path}/index", "--store", f"{tmp_path}/store", "--office", "house", "--year", "2020", "--out", f"{tmp_path}/none", "--progress", f"{tmp_path}/none_progress"], spark)
+    assert spark.read.parquet(f"{tmp_path}/none_progress").count() == 0
 
 
 def test_options_load(tmp_path):
