@@ -26,11 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import flat_bytes, mix, no_nulls, release
+from strandline.llm.shared import flat_bytes, mix, no_nulls, release, slices
 
 SEED = 29
 SHIFT = 10.0
@@ -298,16 +297,6 @@ def row_keys(values: pa.Array) -> np.ndarray:
     return values.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
-def _slices(values: pa.Array, most: int):
-    sizes = np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(values):
-        before = sizes[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
-        yield at, to
-        at = to
-
-
 def unit_parts(raw: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """[start, end) of a long text's parts of about ``most`` bytes, each of which begins where a unit does."""
     at = 0
@@ -333,7 +322,7 @@ def sample_pieces(text: Column, key: Column, model: str, seed: int = SEED, sharp
         for values, keys in batches:
             values, keys = no_nulls(values), row_keys(keys)
             parts = []
-            for a, b in _slices(values, SLICE_BYTES):
+            for a, b in slices(values, SLICE_BYTES):
                 ids, offsets = sampler.sample(values.slice(a, b - a), keys[a:b], seed)
                 parts.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
@@ -367,7 +356,7 @@ def encode_documents(df: DataFrame, model: str, key: str = "doc_id", text: str =
         sampler = Sampler.of(model)
         for batch in batches:
             values = no_nulls(batch.column(text).cast(pa.string()))
-            for a, b in _slices(values, SLICE_BYTES):
+            for a, b in slices(values, SLICE_BYTES):
                 ids, offsets = sampler.sample(values.slice(a, b - a), row_keys(batch.column(key).slice(a, b - a)), seed)
                 own = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], names=[*own.schema.names, "pieces"])
@@ -385,7 +374,7 @@ def encode_and_check(df: DataFrame, model: str, key: str = "doc_id", text: str =
         sampler = Sampler.of(model)
         for batch in batches:
             values = no_nulls(batch.column("_text"))
-            for a, b in _slices(values, SLICE_BYTES):
+            for a, b in slices(values, SLICE_BYTES):
                 some, own = values.slice(a, b - a), batch.column("_key").slice(a, b - a)
                 ids, offsets = sampler.sample(some, row_keys(own), seed)
                 raw, bounds = sampler.decode(ids, offsets)

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import flat_bytes, free, no_nulls, texts
+from strandline.llm.shared import flat_bytes, free, no_nulls, release, texts
 
 DICTIONARY = 112_640
 BLOCK = 1024
@@ -159,6 +159,8 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", into: str = "sc
             raw, offsets = flat_bytes(no_nulls(values))
             view = memoryview(raw)
             yield pa.array(scorer.scores(np.array([scorer.difference(view[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], np.float64)))
+            del raw, view, values
+            release()
 
     return df.withColumn(into, scored(texts(text)))
 

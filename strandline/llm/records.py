@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import file_system, no_nulls, pieces_of, shared_folder, steady, texts
+from strandline.llm.shared import file_system, no_nulls, pieces_of, release, shared_folder, steady, texts
 
 END_ID = 2
 FILE_BYTES = 512_000_000
@@ -309,6 +309,7 @@ def write_records(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str
                     seq, out = seq + 1, None
         if out is not None:
             close()
+        release()
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*done), schema)], schema=schema)
 

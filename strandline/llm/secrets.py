@@ -19,12 +19,13 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import no_nulls, texts
+from strandline.llm.shared import no_nulls, release, slices, texts
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -59,6 +60,8 @@ ALLOW_WORDS = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-
 RUN = re.compile(r"[A-Za-z0-9]*")
 #: A cheap superset of all that can match, for a linear-time regex engine.
 MAY_MATCH = r"(?i:passw(or)?d|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|[A-Za-z0-9+/_=\-]{20}"
+#: Bytes of text that a worker looks through at a time, in Python's strings.
+SLICE_BYTES = 1_000_000
 SECRETS = "array<struct<kind:string,start:int,end:int>>"
 SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -179,32 +182,49 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
-def _secrets(values: pa.Array) -> pa.Array:
-    values = no_nulls(values)
-    may = pc.match_substring_regex(values, MAY_MATCH)
-    hits = pc.indices_nonzero(may).to_pylist()
-    found = {i: scan(values[i].as_py()) for i in hits}
-    return pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in found.get(i, ())] for i in range(len(values))], SPAN)
-
-
-def _redacted(values: pa.Array) -> pa.Array:
-    may = pc.fill_null(pc.match_substring_regex(values, MAY_MATCH), False)
-    hits = set(pc.indices_nonzero(may).to_pylist())
-    if not hits:
-        return values
-    out = []
-    for i, text in enumerate(values.to_pylist()):
-        if i in hits:
-            parts, at = [], 0
-            for kind, start, end in scan(text):
-                if end <= at:
-                    continue
-                if start >= at:
-                    parts += [text[at:start], f"<{kind}>"]
-                at = end
-            text = "".join([*parts, text[at:]]) if parts else text
-        out.append(text)
-    return pa.array(out, values.type)
+def _secrets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        out = []
+        batch = no_nulls(batch)
+        for a, b in slices(batch, SLICE_BYTES):
+            values = batch.slice(a, b - a)
+            hits = set(pc.indices_nonzero(pc.match_substring_regex(values, MAY_MATCH)).to_pylist())
+            out += [[{"kind": k, "start": s, "end": e} for k, s, e in scan(values[i].as_py())] if i in hits else [] for i in range(len(values))]
+        yield pa.array(out, SPAN)
+        del out, batch
+        release()
+
+
+def redact(text: str) -> str:
+    """The text with each run of overlapping spans replaced by its first kind in angle brackets."""
+    parts, at = [], 0
+    for kind, start, end in scan(text):
+        if end <= at:
+            continue
+        if start >= at:
+            parts += [text[at:start], f"<{kind}>"]
+        at = end
+    return "".join([*parts, text[at:]]) if parts else text
+
+
+def _redacted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        out = []
+        for a, b in slices(batch, SLICE_BYTES):
+            values = batch.slice(a, b - a)
+            hits = pc.indices_nonzero(pc.fill_null(pc.match_substring_regex(values, MAY_MATCH), False)).to_pylist()
+            if hits:
+                mask = np.zeros(len(values), bool)
+                mask[hits] = True
+                values = pc.replace_with_mask(values, pa.array(mask), pa.array([redact(values[i].as_py()) for i in hits], values.type))
+            out.append(values)
+        yield pa.concat_arrays(out) if out else batch
+        del out, batch
+        release()
+
+
+for _udf in (_secrets, _redacted):
+    _udf.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
 
 
 def secret_spans(text: Column | str = "text") -> Column:

@@ -1,15 +1,13 @@
 """Helpers that the operators of this folder share: tables, the shared folder, file systems, batches, hashes.
 
 Tables that an operator needs only while it runs lie in a ``Scratch``, whose ``close`` deletes them. What a result is read
-from (archives, records, chat segments, the stages' tables of the pipeline) stays in the shared folder, under the
-application's id: whoever runs the application deletes that folder when the results have been written.
+from (archives, records, chat segments, the stages' tables of the pipeline) stays in the shared folder (``strandline.sources.held``).
 """
 
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +15,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.sources.held import hold as cut
+from strandline.sources.held import shared_folder
+
 
 #: Files of a small table at least, and rows of a file, where the number of rows is known.
 FEW_FILES = 8
@@ -28,31 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below the folder that driver and executors share.
-
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local master, whose one machine everything
-    shares, may leave it out: a temporary one is made then. Elsewhere a missing setting is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="strandline-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/strandline-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, path: str | None = None) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: the lineage ends there, and a lost executor costs nothing."""
-    path = path or shared_folder(df.sparkSession, "cut")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Scratch:
     """Tables of a running operator, in a folder of their own."""
 
@@ -107,16 +83,19 @@ def free(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def pieces_of(batch: pa.RecordBatch, column: str, most: int = 16_000_000):
+def pieces_of(batch: pa.RecordBatch, column: str, most: int = 16_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most about ``most`` bytes in ``column`` each (a longer single row stays whole)."""
-    values = batch.column(column)
-    sizes = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes, dtype=np.int64)
+    for a, b in slices(batch.column(column), most):
+        yield batch.slice(a, b - a)
+
+
+def slices(values: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """[start, end) of slices of a string array with at most about ``most`` bytes each (a longer single value stays whole)."""
+    ends = np.cumsum(pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield batch.slice(at, to - at)
+    while at < len(values):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield at, to
         at = to
 
 
