@@ -21,6 +21,11 @@ def select_captures(captures: DataFrame, start: Column, end: Column, most: int =
     return good.withColumn("_n", F.row_number().over(each)).where(F.col("_n") <= most).drop("_n").withColumn("wayback_url", archive_url(F.col("timestamp"), F.col("original_url")))
 
 
+def at_limit(captures: DataFrame, most: int = Options.max_captures) -> DataFrame:
+    """(original_url, n): urls with ``most`` captures or more, whose selection may be cut short."""
+    return captures.groupBy("original_url").agg(F.count("*").alias("n")).where(F.col("n") >= most)
+
+
 def bucket(timestamp: Column, months: int) -> Column:
     """``<year>Q<bucket>`` with buckets of some months, from 0."""
     at = F.floor((F.substring(timestamp, 5, 2).cast("int") - 1) / months).cast("string")

@@ -32,9 +32,11 @@ class UrlSource(Protocol):
     def urls(self, roster: DataFrame) -> DataFrame: ...
 
 
-def small(df: DataFrame, most: int = Options.broadcast_rows) -> DataFrame:
-    """``df`` with a broadcast hint if it has no more rows than ``most``; counted, not assumed."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def small(df: DataFrame, most: int = Options.broadcast_rows, most_bytes: int = Options.broadcast_bytes) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` rows and ``most_bytes`` of text; measured, not assumed."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, kind in df.dtypes if kind == "string"), F.lit(8).cast("long") * len(df.columns))
+    found = df.limit(most + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found["rows"] <= most and found["bytes"] <= most_bytes else df
 
 
 def build_roster(raw: DataFrame, year: int, office: str) -> DataFrame:

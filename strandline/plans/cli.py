@@ -10,6 +10,7 @@ Each takes --config FILE, a YAML file of ``Options``.
 from __future__ import annotations
 
 import argparse
+import logging
 import time
 import uuid
 from collections.abc import Sequence
@@ -31,6 +32,9 @@ from strandline.streaming.resume import scrape
 from strandline.values import Options
 
 
+LOG = logging.getLogger(__name__)
+
+
 def _or_empty(spark: SparkSession, path: str | None, schema: str) -> DataFrame:
     """The table, or an empty one where there is none yet."""
     try:
@@ -74,6 +78,9 @@ def scrape_captures(spark: SparkSession, a: argparse.Namespace, options: Options
     people = spark.read.schema(schemas.ROSTER).parquet(a.roster).where((F.col("office") == a.office) & (F.col("year") == a.year))
     start, end = C.election_year(F.lit(a.year))
     chosen = C.select_captures(tables.captures(spark, a.captures), start, end, options.max_captures)
+    cut_short = C.at_limit(chosen, options.max_captures).count()
+    if cut_short:
+        LOG.warning("%d urls have %d captures or more; later ones are left out", cut_short, options.max_captures)
     # captures of the site, with or without www. and under either scheme
     site = lambda c: F.regexp_replace(dedup_url(c), "^https?://", "")
     found = people.withColumn("_site", site(F.col("website_url"))).join(chosen.withColumn("_site", site(F.col("original_url"))), "_site").drop("_site")

@@ -108,6 +108,7 @@ def test_stratified_sample(spark):
     months = [r.timestamp[:6] for r in out if r.site == "s"]
     assert len(months) == 200 and len(set(months)) == 12 and max(map(months.count, months)) <= 20
     assert sum(r.site == "t" for r in out) == 50
+    assert [tuple(r) for r in C.at_limit(df, 51).collect()] == [("u", 650)]
 
 
 def test_capture_scan_and_filter(spark, tmp_path):
