@@ -343,12 +343,25 @@ def document_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", scra
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text").cast("long") + UNIT_ROW), F.lit(0)).alias("n")).first()["n"]
     ranges = max(1, -(-size // RANGE_BYTES))
     if ranges <= FAN:
-        counted = rows.mapInArrow(_to_blocks(ranges), _DDL["blocks"]).groupBy("block").applyInArrow(_count_columns, _DDL["units"])
+        counted = _by_range(rows.mapInArrow(_to_blocks(ranges), _DDL["blocks"]), ranges)
     else:
         counted = _counted_by_two(rows, ranges, scratch)
     return scratch.cut(counted.groupBy("unit").applyInArrow(_to_rows, _DDL["rows"]))
 
 
+def _by_range(blocks: DataFrame, ranges: int) -> DataFrame:
+    """``_count_columns`` of each range, a task for each, so that no task has more than a range by the chance of a hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, BLOCKS)
+        if table.num_rows:
+            yield from _count_columns(table).to_batches()
+        del table
+        release()
+
+    return blocks.repartitionById(ranges, "block").mapInArrow(run, _DDL["units"])
+
+
 def _counted_by_two(rows: DataFrame, ranges: int, scratch: Scratch) -> DataFrame:
     """The units' facts and counted columns, by two exchanges each way: units to coarse ranges, merged, to ranges, and back."""
     coarse = int(np.ceil(np.sqrt(ranges)))
@@ -356,7 +369,7 @@ def _counted_by_two(rows: DataFrame, ranges: int, scratch: Scratch) -> DataFrame
     bands = max(1, ranges // coarse)
     matrix = scratch.cut(rows.mapInArrow(_to_blocks(coarse), _DDL["blocks"]).withColumn("origin", F.col("block") + F.lit(coarse).cast("long") * F.pmod(F.xxhash64("unit"), F.lit(bands))))
     columns = matrix.where(F.col("kind") != FACTS)
-    counted = columns.groupBy("origin").applyInArrow(_merge(ranges, coarse), _DDL["blocks"]).groupBy("block").applyInArrow(_count_columns, _DDL["units"])
+    counted = _by_range(columns.groupBy("origin").applyInArrow(_merge(ranges, coarse), _DDL["blocks"]), ranges)
     spread = columns.groupBy("origin").cogroup(counted.withColumnRenamed("unit", "origin").groupBy("origin")).applyInArrow(_spread, _DDL["units"])
     return spread.unionByName(matrix.where(F.col("kind") == FACTS).select("unit", "kind", "data", "held"))
 
