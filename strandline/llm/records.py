@@ -8,8 +8,8 @@ CRC-32C of the payload (4); this is the public TFRecord framing. A payload is on
 Rows are range-partitioned and sorted by id, then by a hash of the text; each task writes its files under its own attempt's name, and only
 files that a finished task reports are read; a lost executor's task is just run again. Whole texts are
 encoded by the tokenizers library. Where the tokenizer drops white space between words, each distinct word is
-encoded once by the library and the ids are put together per row, which gives the same ids. Only a mark after an ASCII letter is
-parted from its word: other letters may change into letters with marks of their own, which join the mark.
+encoded once by the library and the ids are put together per row, which gives the same ids. Only a mark after a letter that stays
+one letter (``PLAIN``) is parted from its word: others may change into letters with marks of their own, which join the mark.
 
 The driver gets a row for each file (of ``FILE_BYTES``, one a task at least), to number the ids across files.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -40,6 +41,8 @@ FILE_BYTES = 512_000_000
 #: Words that a worker keeps encoded; marks that are parted from words.
 STORED = 500_000
 MARKS = frozenset(".,;:!?|")
+#: Letters (Latin, Greek, Cyrillic) that stay one letter when normalised and lower-cased, so that a mark behind them begins a piece.
+PLAIN = frozenset(c for c in map(chr, range(0x41, 0x500)) if c.isalpha() and len(c.lower()) == 1 and all(unicodedata.normalize("NFC", x) == x and x.isalpha() for x in (c, c.lower())))
 
 
 def _tables() -> np.ndarray:
@@ -212,7 +215,7 @@ class Encoder:
         return places
 
     def _parts(self, words: list[str]) -> list[tuple[str, str]]:
-        """(stem, mark) of each word: a mark of ``MARKS`` that follows an ASCII letter at the word's end, or none.
+        """(stem, mark) of each word: a mark of ``MARKS`` that follows a letter of ``PLAIN`` at the word's end, or none.
 
         Such a letter stays one, so the mark begins a piece of its own, whatever is before. That is not so of all letters:
         U+0130 in lower case and U+0958 normalised end in marks, which the tokenizer joins with the next. Stems of ASCII
@@ -221,7 +224,7 @@ class Encoder:
         out = []
         for w in words:
             mark = w[-1:]
-            if mark in MARKS and w[-2:-1].isascii() and w[-2:-1].isalpha():
+            if mark in MARKS and w[-2:-1] in PLAIN:
                 w = w[:-1]
             else:
                 mark = ""
