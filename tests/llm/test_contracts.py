@@ -312,10 +312,11 @@ def test_archives_of_others_errors_and_ranges(spark, tmp_path):
     assert out[1].error and out[1].feature is None and out[1].n_bytes == 5 and set(out) == {0, 1, 2, 3}
 
 
-def test_op6_and_op2_on_these_tables(spark, tables):
+def test_op6_and_op2_on_these_tables(spark, tables, monkeypatch):
     at, rows = tables
     from tests.llm.test_operators import brute_components, brute_metrics
 
+    monkeypatch.setattr(rules, "TRIES", 1)
     got = queries.op6_quality_rules(spark, at)
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     once = lambda found: [r for r in found if r[0] is not None and r[0] != 403]  # the SQL joins by id
