@@ -286,11 +286,18 @@ def _homes(spark, sf_dir) -> DataFrame:
     return _read(spark, sf_dir, "pages").select(U.archive_url(F.lit("20200101000000"), url).alias("wayback_url"), F.lit("20200101000000").alias("timestamp"), url.alias("website_url"), F.concat(F.lit("C"), F.col("page_id").cast("string")).alias("candidate"), F.lit("OH").alias("state"), F.lit("01").alias("district"), F.lit("house").alias("office"), F.lit(2020).alias("year"), F.lit("D").alias("party"))
 
 
+def _unescaped(x: str) -> str:
+    """DuckDB's form of the character references that the pages have; a title cut short may lack the semicolon."""
+    for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"
+    return x
+
+
 _AT = ARCHIVE + "20200101000000/"
 #: The pages' markup as SQL sees it: nothing in the head is visible, comments part texts, and the tags of the bodies hide none.
 _STORE = f"""raw AS (SELECT page_id, regexp_replace(regexp_replace(html, '^.*?</head>', '', 's') || '<x><a href="/about">About</a>', '<!--.*?-->', '<x>', 'gs') AS body FROM pages),
   cells AS (SELECT page_id, regexp_split_to_array(body, '<[^>]*>') AS a FROM raw),
-  texts AS (SELECT page_id, list_filter(list_transform(a, lambda x: regexp_replace(replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '^\\s+|\\s+$', '', 'g')), lambda x: length(x) > 2) AS a FROM cells),
+  texts AS (SELECT page_id, list_filter(list_transform(a, lambda x: regexp_replace({_unescaped('x')}, '^\\s+|\\s+$', '', 'g')), lambda x: length(x) > 2) AS a FROM cells),
   e AS (SELECT page_id, unnest(a) AS x, unnest(range(1, len(a) + 1)) AS i FROM texts),
   k AS (SELECT page_id, x, i FROM (SELECT *, count(*) OVER (PARTITION BY page_id, x) AS c FROM e) WHERE c <= 2 OR length(x) < 5),
   w AS (SELECT *, lag(x) OVER (PARTITION BY page_id ORDER BY i) AS before FROM k),
